@@ -1 +1,352 @@
-"""Queries."""
+"""Features, model metrics, scoring."""
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from catalog.registry import query, rounded
+from catalog.sql import ACTIVATION, CURRENT_SPINE, FEATURES, SCORED, SPINE, chain, reasons
+from catalog.usage import activation_of, dim_of
+from subsight.operators import evaluation as ev
+from subsight.operators import features as ft
+from subsight.operators import models as ml
+from subsight.operators import scoring as sc
+from subsight.session import stable
+
+_TRAINING = chain(SPINE, ACTIVATION, FEATURES)
+_TRAINING_SCORED = chain(_TRAINING, SCORED)
+_CURRENT = chain(CURRENT_SPINE, ACTIVATION, FEATURES)
+_CURRENT_SCORES = chain(_CURRENT, SCORED, reasons())
+
+
+def features_of(d):
+    snapshots = ft.prediction_spine(d.subscriptions, d.invoices)
+    return ft.churn_features(snapshots, d.accounts, d.events, d.invoices, activation_of(d))
+
+
+def stored_features_of(d):
+    """Features written once, since training and evaluation read them often."""
+    return stable(features_of(d))
+
+
+def current_of(d):
+    return ft.current_scoring_features(dim_of(d), d.events, d.invoices, activation_of(d))
+
+
+def with_score(features):
+    """The deterministic score the check SQL uses; it has many ties."""
+    mixed = (
+        F.col("account_id").cast("bigint") * 37 + F.month("prediction_date") * 11 + F.col("events_last_30d") * 7
+    ) % 101
+    return features.withColumn("churn_probability", F.least(F.lit(1.0), mixed.cast("double") / 100.0))
+
+
+def scored_of(d):
+    return with_score(features_of(d))
+
+
+def scores_of(d):
+    return sc.score_frame(with_score(current_of(d)))
+
+
+@query("prediction_spine", "SELECT * FROM spine", SPINE)
+def _(d):
+    return ft.prediction_spine(d.subscriptions, d.invoices)
+
+
+@query("churn_features", "SELECT * FROM features", _TRAINING)
+def _(d):
+    return features_of(d)
+
+
+@query("current_scoring_features", "SELECT * EXCLUDE (churn_label) FROM features", _CURRENT)
+def _(d):
+    return current_of(d)
+
+
+@query(
+    "training_dataset",
+    """SELECT account_id, prediction_date, plan, monthly_revenue, churn_label FROM features
+       ORDER BY prediction_date, account_id""",
+    _TRAINING,
+)
+def _(d):
+    return ft.training_dataset(features_of(d)).select(
+        "account_id", "prediction_date", "plan", "monthly_revenue", "churn_label"
+    )
+
+
+@query(
+    "training_summary",
+    """SELECT count(*) AS total_rows, CAST(sum(churn_label) AS BIGINT) AS churn_rows,
+              CAST(count(*) - sum(churn_label) AS BIGINT) AS non_churn_rows,
+              CAST(sum(churn_label) AS DOUBLE) / count(*) AS churn_rate,
+              min(prediction_date) AS first_prediction_date, max(prediction_date) AS last_prediction_date
+       FROM features""",
+    _TRAINING,
+)
+def _(d):
+    return ft.training_summary(features_of(d))
+
+
+@query(
+    "leakage_check",
+    """SELECT f.account_id, f.prediction_date, 'leak' AS problem
+       FROM features AS f JOIN subscriptions AS s USING (account_id)
+       WHERE CAST(f.latest_event_at AS DATE) > f.prediction_date OR f.latest_invoice_date > f.prediction_date
+          OR s.cancellation_date <= f.prediction_date
+          OR (f.churn_label = 1) <> coalesce(s.cancellation_date - f.prediction_date BETWEEN 1 AND 30, FALSE)""",
+    _TRAINING,
+)
+def _(d):
+    return ft.leakage_check(features_of(d), d.subscriptions)
+
+
+# --- evaluation -------------------------------------------------------------------
+
+
+@query(
+    "temporal_split",
+    """SELECT CASE WHEN place = 1 THEN 'test' WHEN place = 2 THEN 'validation' ELSE 'train' END AS split,
+              count(*) AS row_count, min(prediction_date) AS first_date, max(prediction_date) AS last_date
+       FROM (SELECT prediction_date, dense_rank() OVER (ORDER BY prediction_date DESC) AS place FROM spine) AS placed
+       GROUP BY 1""",
+    SPINE,
+)
+def _(d):
+    return ev.split_periods(ft.prediction_spine(d.subscriptions, d.invoices))
+
+
+_CUTS = """
+cuts AS (
+    SELECT cut, 2.0::DOUBLE * tp / nullif(predicted + positives, 0) AS f1,
+           coalesce(CAST(tp AS DOUBLE) / nullif(predicted, 0), 0) AS precision
+    FROM (
+        SELECT c.cut,
+               (SELECT count(*) FROM scored WHERE churn_probability >= c.cut AND churn_label = 1) AS tp,
+               (SELECT count(*) FROM scored WHERE churn_probability >= c.cut) AS predicted,
+               (SELECT count(*) FROM scored WHERE churn_label = 1) AS positives
+        FROM (SELECT DISTINCT churn_probability AS cut FROM scored
+              UNION SELECT 0.0::DOUBLE UNION SELECT 1.0::DOUBLE) AS c
+    ) AS counted
+)"""
+
+
+@query(
+    "choose_threshold",
+    'SELECT cut AS threshold, f1, precision FROM cuts ORDER BY f1 DESC, precision DESC, cut DESC LIMIT 1',
+    chain(_TRAINING_SCORED, _CUTS),
+)
+def _(d):
+    return ev.choose_threshold(scored_of(d))
+
+
+_LIFT = """
+placed AS (
+    SELECT churn_label, row_number() OVER (ORDER BY churn_probability DESC, account_id, prediction_date) AS place,
+           count(*) OVER () AS everyone FROM scored
+),
+lift AS (
+    SELECT count(*) AS row_count, count(*) FILTER (place <= ceil(everyone * 0.1::DOUBLE)) AS top_count,
+           CAST(coalesce(sum(churn_label) FILTER (place <= ceil(everyone * 0.1::DOUBLE)), 0) AS BIGINT) AS top_positives
+    FROM placed
+)"""
+
+
+@query(
+    "top_decile_lift",
+    """SELECT row_count, top_count, top_positives,
+              round((CAST(top_positives AS DOUBLE) / top_count)
+                  / ((SELECT sum(churn_label) FROM scored)::DOUBLE / row_count), 9) AS top_decile_lift
+       FROM lift""",
+    chain(_TRAINING_SCORED, _LIFT),
+)
+def _(d):
+    keyed = scored_of(d).withColumn("tie", F.struct("account_id", "prediction_date"))
+    return rounded(ev.top_decile_lift(keyed, tie_break="tie"), "top_decile_lift")
+
+
+@query(
+    "evaluate_scores",
+    """SELECT round((SELECT sum(CAST(hits AS DOUBLE) * running_hits / running_rows)
+                     FROM (SELECT hits, sum(hits) OVER up AS running_hits, sum(level_rows) OVER up AS running_rows
+                           FROM (SELECT churn_probability AS p, sum(churn_label) AS hits, count(*) AS level_rows
+                                 FROM scored GROUP BY 1) AS levels
+                           WINDOW up AS (ORDER BY p DESC)) AS steps)
+                    / (SELECT sum(churn_label) FROM scored), 9) AS pr_auc,
+              (SELECT round(avg(CASE WHEN g.churn_probability > b.churn_probability THEN 1.0::DOUBLE
+                               WHEN g.churn_probability = b.churn_probability THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END), 9)
+               FROM scored AS g JOIN scored AS b ON g.churn_label = 1 AND b.churn_label = 0) AS roc_auc,
+              tn AS true_negatives, fp AS false_positives, fn AS false_negatives, tp AS true_positives,
+              CAST(tp AS DOUBLE) / (tp + fp) AS precision, CAST(tp AS DOUBLE) / (tp + fn) AS recall,
+              2.0::DOUBLE * tp / (2 * tp + fp + fn) AS f1, 0.5::DOUBLE AS decision_threshold,
+              round((CAST(top_positives AS DOUBLE) / top_count) / ((tp + fn)::DOUBLE / row_count), 9) AS top_decile_lift
+       FROM (SELECT count(*) FILTER (churn_probability < 0.5 AND churn_label = 0) AS tn,
+                    count(*) FILTER (churn_probability >= 0.5 AND churn_label = 0) AS fp,
+                    count(*) FILTER (churn_probability < 0.5 AND churn_label = 1) AS fn,
+                    count(*) FILTER (churn_probability >= 0.5 AND churn_label = 1) AS tp FROM scored) AS cells, lift""",
+    chain(_TRAINING_SCORED, _LIFT),
+)
+def _(d):
+    keyed = scored_of(d).withColumn("tie", F.struct("account_id", "prediction_date"))
+    return rounded(ev.evaluate_scores(keyed, 0.5, tie_break="tie"), "pr_auc", "roc_auc", "top_decile_lift")
+
+
+@query("logistic_model")
+def _(d):
+    """Test-date probabilities of the logistic model."""
+    train, _, test = ev.temporal_split(stored_features_of(d))
+    model = ml.fit(ml.LOGISTIC, train)
+    return ml.predict(model, test).select("account_id", "prediction_date", "churn_probability", "churn_label")
+
+
+@query("boosted_trees_model")
+def _(d):
+    """Test-date probabilities of the boosted trees."""
+    train, _, test = ev.temporal_split(stored_features_of(d))
+    model = ml.fit(ml.BOOSTED_TREES, train)
+    return ml.predict(model, test).select("account_id", "prediction_date", "churn_probability", "churn_label")
+
+
+@query("select_model")
+def _(d):
+    """Both models trained, compared and chosen on validation."""
+    return ml.train_and_compare(stored_features_of(d))[2]
+
+
+@query("permutation_importance")
+def _(d):
+    train, _, test = ev.temporal_split(stored_features_of(d))
+    return ml.permutation_importance(ml.fit(ml.LOGISTIC, train), test)
+
+
+@query("run_metrics_table")
+def _(d):
+    train, validation, test = ev.temporal_split(stored_features_of(d))
+    results = ml.measure(ml.fit(ml.LOGISTIC, train), ml.LOGISTIC, validation, test)
+    return ml.run_metrics_table(results, "run-1")
+
+
+# --- scoring ------------------------------------------------------------------------
+
+
+@query(
+    "risk_bucket",
+    """SELECT account_id, prediction_date, churn_probability,
+              CASE WHEN churn_probability < 0.3 THEN 'Low' WHEN churn_probability < 0.6 THEN 'Medium' ELSE 'High' END
+                  AS risk_bucket FROM scored""",
+    _TRAINING_SCORED,
+)
+def _(d):
+    return scored_of(d).select(
+        "account_id", "prediction_date", "churn_probability", sc.risk_bucket(F.col("churn_probability")).alias("risk_bucket")
+    )
+
+
+@query(
+    "risk_reasons",
+    "SELECT account_id, prediction_date, top_reason_1, top_reason_2, top_reason_3 FROM scores",
+    chain(_TRAINING_SCORED, reasons()),
+)
+def _(d):
+    return sc.with_reasons(features_of(d)).select(
+        "account_id", "prediction_date", "top_reason_1", "top_reason_2", "top_reason_3"
+    )
+
+
+@query("score_accounts", "SELECT * FROM scores", _CURRENT_SCORES)
+def _(d):
+    return sc.in_rank_order(scores_of(d))
+
+
+@query("score_with_model")
+def _(d):
+    """Scores of active accounts from a trained logistic model."""
+    train, _, _ = ev.temporal_split(stored_features_of(d))
+    return sc.score_accounts(ml.fit(ml.LOGISTIC, train), current_of(d))
+
+
+_ANSWER = """SELECT account_id, churn_probability AS churn_score, risk_bucket, prediction_date, monthly_revenue,
+    concat_ws(' | ', top_reason_1, top_reason_2, top_reason_3) AS top_reasons FROM scores"""
+
+
+@query(
+    "rank_accounts",
+    _ANSWER + " ORDER BY churn_probability DESC, monthly_revenue DESC, account_id LIMIT 20",
+    _CURRENT_SCORES,
+)
+def _(d):
+    return sc.rank_accounts(scores_of(d))
+
+
+@query(
+    "rank_accounts_in_bucket",
+    _ANSWER + " WHERE risk_bucket = 'Medium' ORDER BY churn_probability DESC, account_id LIMIT 10",
+    _CURRENT_SCORES,
+)
+def _(d):
+    return sc.rank_accounts(scores_of(d), bucket="Medium", limit=10, tie="account")
+
+
+@query("account_risk", _ANSWER + " WHERE account_id = '2'", _CURRENT_SCORES)
+def _(d):
+    return sc.account_risk(scores_of(d), " 2 ")
+
+
+@query(
+    "risk_summary",
+    """SELECT count(*) AS scored_accounts, count(*) FILTER (risk_bucket = 'High') AS high_risk_accounts,
+              count(*) FILTER (risk_bucket = 'Medium') AS medium_risk_accounts,
+              count(*) FILTER (risk_bucket = 'Low') AS low_risk_accounts,
+              coalesce(sum(monthly_revenue) FILTER (risk_bucket = 'High'), 0) AS high_risk_monthly_revenue
+       FROM scores""",
+    _CURRENT_SCORES,
+)
+def _(d):
+    return sc.risk_summary(scores_of(d))
+
+
+_BROKEN_SCORES = """
+broken AS (
+    SELECT account_id, CASE WHEN risk_bucket = 'High' THEN churn_probability + 1 ELSE churn_probability END AS p,
+           CASE WHEN risk_bucket = 'Low' THEN 'None' ELSE risk_bucket END AS bucket FROM scores
+    UNION ALL SELECT account_id, churn_probability, risk_bucket FROM scores WHERE risk_bucket = 'Medium'
+)"""
+
+
+@query(
+    "validate_scores",
+    """SELECT 'probability_range' AS rule, count(*) AS violations FROM broken WHERE p NOT BETWEEN 0 AND 1
+       UNION ALL SELECT 'risk_bucket', count(*) FROM broken WHERE bucket NOT IN ('Low', 'Medium', 'High')
+       UNION ALL SELECT 'duplicate_account', count(*) FROM
+           (SELECT account_id FROM broken GROUP BY 1 HAVING count(*) > 1) AS repeated""",
+    chain(_CURRENT_SCORES, _BROKEN_SCORES),
+)
+def _(d):
+    """Checks on scores that are broken in three known ways."""
+    scores = scores_of(d)
+    bad = scores.withColumns(
+        {
+            "churn_probability": F.col("churn_probability") + F.when(F.col("risk_bucket") == "High", 1).otherwise(0),
+            "risk_bucket": F.when(F.col("risk_bucket") == "Low", "None").otherwise(F.col("risk_bucket")),
+        }
+    )
+    return sc.validate_scores(bad.unionByName(scores.where("risk_bucket = 'Medium'")))
+
+
+@query(
+    "scoring_as_of_date",
+    "SELECT account_id, prediction_date, events_last_30d, monthly_revenue FROM features",
+    chain(
+        """spine AS (SELECT account_id, DATE '2024-09-15' AS prediction_date, subscription_start_date, cancellation_date
+           FROM subscriptions WHERE subscription_status = 'active')""",
+        ACTIVATION,
+        FEATURES,
+    ),
+)
+def _(d):
+    """Scoring features on a date of choice instead of the latest event date."""
+    current = ft.current_scoring_features(
+        dim_of(d), d.events, d.invoices, activation_of(d), F.lit(date(2024, 9, 15))
+    )
+    return current.select("account_id", "prediction_date", "events_last_30d", "monthly_revenue")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from subsight.functions.expr import ratio, ratio_or_zero
 from subsight.functions.ranking import running_totals
+from subsight.session import stable
 
 
 class TooFewDates(ValueError):
@@ -95,7 +96,8 @@ def choose_threshold(
         counts.unionByName(ends).groupBy(*keys, "score").agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
     )
     ranked = ranked_counts(levels, keys)
-    totals = counts.groupBy(*keys).agg(F.sum("positives").alias("total"))
+    # the running total at the lowest score is the number of positives
+    totals = ranked.groupBy(*keys).agg(F.max("cum_positives").alias("total"))
     joined = ranked.join(totals, list(keys)) if keys else ranked.withColumn("total", totals.scalar())
     candidate = F.struct(
         _f1(F.col("cum_positives"), F.col("cum_n"), F.col("total")).alias("f1"),
@@ -126,7 +128,7 @@ def top_decile_lift(
         F.lit(1).cast("bigint").alias("one"),
     )
     placed = running_totals(rows, [F.col("score").desc(), F.col("tie").asc()], {"position": "one"})
-    total = rows.agg(F.count("*")).scalar()
+    total = placed.agg(F.max("position")).scalar()
     top = F.greatest(F.lit(1).cast("bigint"), F.ceil(total * F.lit(share)))
     in_top = F.col("position") <= top
     top_rate = ratio(F.sum(F.when(in_top, F.col("label"))), F.count(F.when(in_top, F.lit(1))))
@@ -198,7 +200,13 @@ def evaluate_scores(
     label: str = "churn_label",
     tie_break: str = "account_id",
 ) -> DataFrame:
-    """All metrics of one scored set in one row."""
+    """All metrics of one scored set in one row.
+
+    The scored rows are read three times, so they are stored first.
+    """
+    tie = F.col(tie_break).alias("_tie")
+    scored = stable(scored.select(F.col(score).alias("_score"), F.col(label).alias("_label"), tie))
+    score, label, tie_break = "_score", "_label", "_tie"
     ranking = ranking_metrics(scored, score, label)
     cells = threshold_metrics(scored, threshold, score, label)
     lift = top_decile_lift(scored, score, label, tie_break).select("top_decile_lift")

@@ -35,10 +35,11 @@ BOOSTED_TREES = "boosted_trees"
 
 def with_balanced_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     """Weight each class by rows / (2 * rows of the class)."""
-    rows = train.agg(F.count("*")).scalar().cast("double")
-    positives = train.agg(F.sum(label)).scalar().cast("double")
-    of_class = F.when(F.col(label) == 1, positives).otherwise(rows - positives)
-    return train.withColumn("class_weight", rows / (2.0 * of_class))
+    rows, positives = train.agg(F.count("*"), F.coalesce(F.sum(label), F.lit(0))).first()
+    if not 0 < positives < rows:
+        raise ValueError("Training needs rows of both classes")
+    weight = F.when(F.col(label) == 1, rows / (2.0 * positives)).otherwise(rows / (2.0 * (rows - positives)))
+    return train.withColumn("class_weight", weight)
 
 
 def _filled(name: str) -> str:
@@ -124,13 +125,13 @@ def tree_pipeline(train: DataFrame, max_iter: int = 200, step_size: float = 0.05
 
 def fit(kind: str, train: DataFrame, **settings) -> PipelineModel:
     build = {LOGISTIC: logistic_pipeline, BOOSTED_TREES: tree_pipeline}[kind]
-    columns = list(dict.fromkeys([*FEATURE_COLUMNS, LABEL]))
     # Training passes over its input many times: keep it for the duration.
-    weighted = with_balanced_weights(train.select(*columns)).persist()
+    rows = train.select(*FEATURE_COLUMNS, LABEL).persist()
     try:
+        weighted = with_balanced_weights(rows)
         return build(weighted, **settings).fit(weighted)
     finally:
-        weighted.unpersist()
+        rows.unpersist()
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -162,7 +163,10 @@ def measure(model: PipelineModel, name: str, validation: DataFrame, test: DataFr
 def train_and_compare(
     features: DataFrame, tree_iterations: int = 200
 ) -> tuple[dict[str, PipelineModel], DataFrame, DataFrame]:
-    """Fit both models on the early dates; return models, metrics and the choice."""
+    """Fit both models on the early dates; return models, metrics and the choice.
+
+    Give it stored features (see ``export_training_set``): they are read often.
+    """
     train, validation, test = temporal_split(features)
     fitted = {
         LOGISTIC: fit(LOGISTIC, train),
