@@ -1 +1,171 @@
-"""Queries."""
+"""Stream contract, ingestion and status."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from catalog.registry import query
+from fixture_views import malformed_messages
+from subsight import schemas
+from subsight.session import shared_folder
+from subsight.sources.events import empty_stream_df, read_stream_files, stg_events
+from subsight.streaming import contract as ct
+from subsight.streaming import ingest as ing
+from subsight.streaming.status import stream_status
+
+# Valid and rejected messages, from the driver's event table.
+_MESSAGES = """
+sent AS (
+    SELECT event_id, 'S' || event_id AS id, CAST(user_id // 5 AS VARCHAR) AS account_id,
+           CAST(user_id AS VARCHAR) AS user_id,
+           CASE event_type WHEN 'signup' THEN 'workspace_created' WHEN 'click' THEN 'user_login'
+                WHEN 'view' THEN 'dashboard_viewed' WHEN 'purchase' THEN 'report_created' ELSE 'invite_sent' END
+               AS event_name,
+           ts, 1 + event_id % 2 AS version, replace(props, ' ', '') AS properties,
+           (user_id // 5) % 4 AS lane, event_id * 2 AS first_offset,
+           CASE event_id % 50 WHEN 7 THEN 'event_name is not a known event'
+                WHEN 13 THEN 'unknown account_id: nobody' END AS reason
+    FROM events
+),
+deliveries AS (
+    SELECT *, first_offset AS kafka_offset FROM sent
+    UNION ALL SELECT *, first_offset + 1 FROM sent WHERE event_id % 10 = 0
+)"""
+
+_LANDED = """SELECT id AS event_id, account_id, user_id, event_name, ts AS event_timestamp,
+    CAST(version AS BIGINT) AS event_version, properties,
+    CASE WHEN version = 2 THEN 'web' END AS source, CASE WHEN version = 2 THEN 'desktop' END AS device_type,
+    lane AS kafka_partition, first_offset AS kafka_offset"""
+
+
+def new_folder(spark, name):
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def ingest(d):
+    """Send every message through a file-source stream, one file per batch."""
+    source = new_folder(d.spark, "messages")
+    d.messages.repartition(3, F.col("offset") % 3).write.parquet(source)
+    stream = (
+        d.spark.readStream.schema("value binary, partition bigint, offset bigint")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(source)
+    )
+    sink = ing.StreamSink(new_folder(d.spark, "ingested"))
+    running = ing.ingest_stream(stream, lambda _: (d.accounts, d.users), sink, {"availableNow": True})
+    running.awaitTermination()
+    return sink
+
+
+@query(
+    "stream_contract",
+    """SELECT event_id AS "offset", CASE event_id % 12
+           WHEN 0 THEN 'event_id must be a non-empty string'
+           WHEN 1 THEN 'event_id must be a non-empty string'
+           WHEN 2 THEN 'event_timestamp must include a timezone'
+           WHEN 3 THEN 'event_timestamp is not a valid ISO-8601 time'
+           WHEN 4 THEN 'event_version is not supported'
+           WHEN 5 THEN 'event_version is not supported'
+           WHEN 6 THEN 'event_version 2 requires source and device_type'
+           WHEN 7 THEN 'unexpected fields: colour'
+           WHEN 8 THEN 'message must be a JSON object'
+           WHEN 9 THEN 'message is not valid UTF-8 JSON'
+           WHEN 10 THEN 'device_type is not a known device' END AS reason
+       FROM events""",
+)
+def _(d):
+    return ct.validate_contract(malformed_messages(d.table("events"))).select("offset", "reason")
+
+
+@query(
+    "stream_ownership",
+    """SELECT kafka_offset AS "offset", lane AS partition, reason FROM deliveries
+       UNION ALL
+       SELECT event_id, 9, 'unknown user_id: 9999999999' FROM events WHERE event_id % 12 = 11""",
+    _MESSAGES,
+)
+def _(d):
+    malformed = malformed_messages(d.table("events")).withColumn("partition", F.lit(9).cast("long"))
+    checked = ct.validate_contract(d.messages).unionByName(
+        ct.validate_contract(malformed).where("reason is null")
+    )
+    return ct.validate_ownership(checked, d.accounts, d.users).select("partition", "offset", "reason")
+
+
+@query(
+    "stream_dedup",
+    """SELECT id AS event_id, lane AS partition, first_offset AS "offset" FROM sent
+       WHERE reason IS NULL AND id NOT IN (SELECT 'S' || event_id FROM events WHERE event_type = 'click')""",
+    _MESSAGES,
+)
+def _(d):
+    """First deliveries that were not persisted before; clicks had been."""
+    checked = ct.validate_ownership(ct.validate_contract(d.messages), d.accounts, d.users)
+    persisted = (
+        d.table("events")
+        .where("event_type = 'click'")
+        .select(F.concat(F.lit("S"), F.col("event_id").cast("string")).alias("event_id"))
+    )
+    fresh = ing.drop_persisted(ing.dedup_batch(checked.where("reason is null")), persisted)
+    return fresh.select("event_id", "partition", "offset")
+
+
+@query(
+    "stream_event_row",
+    _LANDED.replace("first_offset AS kafka_offset", "kafka_offset")
+    + """, TIMESTAMP '2024-02-01 00:00:00' AS received_at
+         FROM deliveries WHERE reason IS NULL OR reason LIKE 'unknown account%'""",
+    _MESSAGES.replace("CAST(user_id // 5 AS VARCHAR) AS account_id",
+                      "CASE WHEN event_id % 50 = 13 THEN 'nobody' ELSE CAST(user_id // 5 AS VARCHAR) END AS account_id"),
+)
+def _(d):
+    """Landing rows of every message that meets the contract."""
+    valid = ct.validate_contract(d.messages).where("reason is null")
+    return ct.event_row(valid, F.lit("2024-02-01 00:00:00").cast("timestamp"))
+
+
+@query("stream_ingest", _LANDED + " FROM sent WHERE reason IS NULL", _MESSAGES)
+def _(d):
+    return read_stream_files(d.spark, ingest(d).events).drop("received_at")
+
+
+@query("stream_rejects", "SELECT reason, id AS event_id FROM deliveries WHERE reason IS NOT NULL", _MESSAGES)
+def _(d):
+    rejected = d.spark.read.schema(schemas.REJECTED).json(ingest(d).rejected)
+    return rejected.select("reason", F.get_json_object("raw_message", "$.event_id").alias("event_id"))
+
+
+@query(
+    "stream_counters",
+    """SELECT count(*) AS received, count(DISTINCT id) FILTER (reason IS NULL) AS persisted,
+              count(reason) AS rejected,
+              count(*) - count(reason) - count(DISTINCT id) FILTER (reason IS NULL) AS duplicates,
+              max(ts) FILTER (reason IS NULL) AS latest_event_timestamp
+       FROM deliveries""",
+    _MESSAGES,
+)
+def _(d):
+    return ing.stream_counters(d.spark, ingest(d))
+
+
+@query(
+    "stream_status",
+    """SELECT count(*) AS total_rows, count(DISTINCT id) AS events_received, max(ts) AS latest_event_timestamp,
+              CAST(epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max(ts)) AS DOUBLE) / CAST(1000000 AS DOUBLE)
+                  AS seconds_since_last_event,
+              concat(format('{:.1f}', (epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max(ts))) / 3600000000),
+                     ' hours ago') AS freshness,
+              'Stale' AS status
+       FROM sent WHERE reason IS NULL""",
+    _MESSAGES,
+)
+def _(d):
+    landing = d.spark.read.schema(schemas.STREAM_LANDING).parquet(ingest(d).events)
+    now = F.lit("2024-02-01 12:00:00").cast("timestamp")
+    return stream_status(landing, now).drop("file_count")
+
+
+@query("empty_stream", "SELECT * FROM product_events")
+def _(d):
+    """Events when nothing has been streamed yet."""
+    return stg_events(d.raw_events, empty_stream_df(d.spark))
