@@ -34,7 +34,7 @@ def _field(name: str) -> Column:
 
 def _kind(name: str) -> Column:
     """JSON type of a field: STRING, BIGINT, VOID, OBJECT<...>; NULL if absent."""
-    return F.schema_of_variant(_field(name))
+    return F.col(f"kind_{name}")
 
 
 def _is(name: str, kind: str) -> Column:
@@ -64,15 +64,15 @@ def validate_contract(messages: DataFrame) -> DataFrame:
     parsed = messages.withColumn("text", raw).withColumn(
         "message", F.when(F.is_valid_utf8("text"), F.try_parse_json("text"))
     )
-    is_object = F.coalesce(F.schema_of_variant("message").startswith("OBJECT"), F.lit(False))
+    parsed = parsed.select("*", *[F.schema_of_variant(_field(c)).alias(f"kind_{c}") for c in _FIELDS])
+    # json_object_keys is NULL for anything but an object
+    keys = F.json_object_keys(F.when(F.col("message").isNotNull(), F.col("text")))
     timestamp_text = _text("event_timestamp")
     version = F.when(_is("event_version", "BIGINT"), F.try_variant_get("message", "$.event_version", "long"))
     fields = parsed.select(
         *messages.columns,
-        "text",
-        "message",
-        is_object.alias("is_object"),
-        F.json_object_keys(F.when(is_object, F.col("text"))).alias("keys"),
+        F.col("message").isNotNull().alias("is_json"),
+        keys.alias("keys"),
         *[_text(c).alias(c) for c in (*_IDS, "event_name")],
         _zoned_timestamp(timestamp_text).alias("event_timestamp"),
         timestamp_text.alias("timestamp_text"),
@@ -118,21 +118,20 @@ def validate_contract(messages: DataFrame) -> DataFrame:
         )
     )
     reason = (
-        F.when(F.col("message").isNull(), "message is not valid UTF-8 JSON")
-        .when(~F.col("is_object"), "message must be a JSON object")
+        F.when(~F.col("is_json"), "message is not valid UTF-8 JSON")
+        .when(F.col("keys").isNull(), "message must be a JSON object")
         .when(F.size(problems) > 0, F.array_join(problems, "; "))
     )
-    return fields.select(
-        *messages.columns,
-        *_IDS,
-        "event_name",
-        "event_timestamp",
-        "event_version",
+    checked = F.struct(
+        *[F.col(c) for c in (*_IDS, "event_name", "event_timestamp", "event_version")],
         F.coalesce("properties_json", F.lit("{}")).alias("properties"),
-        "source",
-        "device_type",
+        F.col("source"),
+        F.col("device_type"),
         reason.alias("reason"),
     )
+    # A filter on the reason must not be pushed below the parsing, where it
+    # would parse each message once per rule; it does not pass a generator.
+    return fields.select(*messages.columns, F.inline(F.array(checked)))
 
 
 def validate_ownership(checked: DataFrame, accounts: DataFrame, users: DataFrame) -> DataFrame:

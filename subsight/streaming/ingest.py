@@ -104,7 +104,9 @@ def process_batch(messages: DataFrame, batch_id: int, references: References, si
     """Validate, deduplicate and persist one micro-batch."""
     spark = messages.sparkSession
     accounts, users = references(spark)
-    checked = validate_ownership(validate_contract(messages), accounts, users).persist()
+    # both are read several times; a lost block is recomputed from the source
+    parsed = validate_contract(messages).persist()
+    checked = validate_ownership(parsed, accounts, users).persist()
     try:
         first = dedup_batch(checked.where("reason is null"))
         fresh = event_row(drop_persisted(first, known_ids(spark, sink, batch_id)))
@@ -120,6 +122,7 @@ def process_batch(messages: DataFrame, batch_id: int, references: References, si
         )
     finally:
         checked.unpersist()
+        parsed.unpersist()
 
 
 def flush_policy(max_events: int = 25, seconds: float = 10.0) -> dict:
