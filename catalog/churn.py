@@ -347,6 +347,6 @@ def _(d):
 def _(d):
     """Scoring features on a date of choice instead of the latest event date."""
     current = ft.current_scoring_features(
-        dim_of(d), d.events, d.invoices, activation_of(d), F.lit(date(2024, 9, 15))
+        dim_of(d), d.events, d.invoices, activation_of(d), date(2024, 9, 15)
     )
     return current.select("account_id", "prediction_date", "events_last_30d", "monthly_revenue")

@@ -26,16 +26,16 @@ def account_activity(accounts: DataFrame, users: DataFrame, events: DataFrame) -
     distinct-user counts into plain sums, then per account, and only then
     joined: a very busy account is spread by user and by partial aggregation.
     """
-    usage = as_usage(events)
     as_of = last_event_date(events)
-    day = F.col("event_date")
+    usage = as_usage(events).withColumn("as_of", as_of)
+    age = F.datediff("as_of", "event_date")
     per_user = usage.groupBy("account_id", "user_id").agg(
         F.min("first_at").alias("first_event_at"),
         F.max("last_at").alias("last_event_at"),
         F.sum("events").alias("total_events"),
         *[sum_where(F.col("event_name") == name, F.col("events")).alias(c) for c, name in _FEATURE_COUNTS.items()],
-        sum_where(day >= F.date_sub(as_of, 6), F.col("events")).alias("events_last_7d"),
-        sum_where(day >= F.date_sub(as_of, 29), F.col("events")).alias("events_last_30d"),
+        sum_where(age <= 6, F.col("events")).alias("events_last_7d"),
+        sum_where(age <= 29, F.col("events")).alias("events_last_30d"),
     )
     counters = ["total_events", *_FEATURE_COUNTS, "events_last_7d", "events_last_30d"]
     per_account = per_user.groupBy("account_id").agg(
@@ -54,6 +54,7 @@ def account_activity(accounts: DataFrame, users: DataFrame, events: DataFrame) -
         accounts.select("account_id", "seats_purchased")
         .join(per_account, "account_id", "left")
         .join(seats_in_use, "account_id", "left")
+        .withColumn("activity_as_of_date", as_of)
         .select(
             "account_id",
             "first_event_at",
@@ -64,8 +65,8 @@ def account_activity(accounts: DataFrame, users: DataFrame, events: DataFrame) -
             "seats_purchased",
             zero("provisioned_users").alias("provisioned_users"),
             ratio(zero("number_of_active_users"), F.col("seats_purchased")).alias("seat_utilization"),
-            as_of.alias("activity_as_of_date"),
-            F.datediff(as_of, F.col("last_event_at").cast("date")).alias("days_since_last_activity"),
+            "activity_as_of_date",
+            F.datediff("activity_as_of_date", F.col("last_event_at").cast("date")).alias("days_since_last_activity"),
             zero("events_last_7d").alias("events_last_7d"),
             zero("events_last_30d").alias("events_last_30d"),
             zero("active_users_last_30d").alias("active_users_last_30d"),

@@ -6,18 +6,21 @@ including day ``d`` may be used, the label looks at the days after it.
 A direct join of snapshots with all earlier events would repeat each event for
 every later snapshot.  Instead each event day is mapped to the few prediction
 dates whose 60-day window it falls in, plus the first date it is known at,
-which carries it forward.  The map has at most a few rows per calendar day, so
-it is broadcast; lifetime values are then running totals over an account's
+which carries it forward.  The map is made from the list of prediction dates
+and has at most a few rows per calendar day, so it is broadcast; lifetime values are then running totals over an account's
 prediction dates, of which there is one per month.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+from datetime import date, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subsight.functions.expr import latest_by, month_start, months_between_inclusive, ratio, sum_where
-from subsight.operators.usage import as_usage, last_event_date
+from subsight.operators.usage import as_usage
 from subsight.schemas import AUDIT_COLUMNS, FEATURE_COLUMNS, LABEL
 
 _EVENT_WINDOW_DAYS = 60
@@ -38,62 +41,57 @@ def prediction_spine(subscriptions: DataFrame, invoices: DataFrame) -> DataFrame
     start, cancel = F.col("subscription_start_date"), F.col("cancellation_date")
     # first month start on or after the paid start; last one before cancelling
     opening = F.add_months(month_start(F.date_sub(start, 1)), 1)
-    closing = F.coalesce(month_start(F.date_sub(cancel, 1)), last_date)
-    dates = months_between_inclusive(F.greatest(first_date, opening), F.least(last_date, closing))
-    return paid.select(
+    closing = month_start(F.date_sub(cancel, 1))  # least skips NULL
+    bounded = paid.withColumns({"first": F.greatest(first_date, opening), "last": F.least(last_date, closing)})
+    return bounded.select(
         "account_id",
-        F.explode(dates).alias("prediction_date"),
+        F.explode(months_between_inclusive(F.col("first"), F.col("last"))).alias("prediction_date"),
         "subscription_start_date",
         "cancellation_date",
     )
 
 
-def current_snapshots(dim_account: DataFrame, events: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Active accounts on one date: the latest event date unless given."""
-    cutoff = last_event_date(events) if as_of is None else as_of
+def current_snapshots(dim_account: DataFrame, as_of: date) -> DataFrame:
+    """Active accounts on one date."""
     return dim_account.where(F.col("subscription_status") == "active").select(
-        "account_id", cutoff.alias("prediction_date"), "subscription_start_date", "cancellation_date"
+        "account_id", F.lit(as_of).alias("prediction_date"), "subscription_start_date", "cancellation_date"
     )
 
 
-def _date_map(snapshots: DataFrame, window_days: int) -> DataFrame:
+def prediction_dates(snapshots: DataFrame) -> list[date]:
+    """The distinct prediction dates, one per month of history."""
+    return sorted(row[0] for row in snapshots.select("prediction_date").distinct().collect() if row[0])
+
+
+def _date_map(spark: SparkSession, dates: Sequence[date], window_days: int) -> DataFrame:
     """(day, prediction_date, in_window, first_known) for the given dates.
 
     At most ``window_days`` rows per prediction date plus one per day between
-    dates: bounded by the calendar, not by the data.  Days before the first
-    window share one key, see :func:`_key_day`.
+    dates: the size follows the calendar, not the data.  All days before the
+    first window share one key, see :func:`_known_at`.
     """
-    dates = snapshots.select("prediction_date").distinct()
-    ordered = Window.orderBy("prediction_date")  # one row per prediction date
-    d = F.col("prediction_date")
-    spans = dates.select(
-        "prediction_date",
-        F.coalesce(F.lag("prediction_date").over(ordered), F.date_sub(d, window_days + 1)).alias("previous"),
-    )
-    begin = F.least(F.date_sub(d, window_days - 1), F.date_add("previous", 1))
-    return spans.withColumn("day", F.explode(F.sequence(begin, d))).select(
-        "day",
-        "prediction_date",
-        (F.col("day") >= F.date_sub(d, window_days - 1)).alias("in_window"),
-        (F.col("day") > F.col("previous")).alias("first_known"),
-    )
-
-
-def _key_day(day: Column, snapshots: DataFrame, window_days: int) -> Column:
-    earliest = snapshots.agg(F.date_sub(F.min("prediction_date"), window_days)).scalar()
-    return F.greatest(day, earliest)
-
-
-def _known_at(df: DataFrame, day: Column, snapshots: DataFrame, window_days: int) -> DataFrame:
+    rows = []
+    for position, current in enumerate(dates):
+        opens = current - timedelta(days=window_days - 1)
+        previous = dates[position - 1] if position else opens - timedelta(days=2)
+        day = min(opens, previous + timedelta(days=1))
+        while day <= current:
+            rows.append((day, current, day >= opens, day > previous))
+            day += timedelta(days=1)
+    return spark.createDataFrame(rows, "day date, prediction_date date, in_window boolean, first_known boolean")
+
+
+def _known_at(df: DataFrame, day: Column, dates: Sequence[date], window_days: int) -> DataFrame:
     """Repeat each row for the prediction dates it matters to."""
-    dates = _date_map(snapshots, window_days)
-    keyed = df.withColumn("day", _key_day(day, snapshots, window_days))
+    earliest = F.lit(dates[0] - timedelta(days=window_days)) if dates else F.lit(None).cast("date")
+    last = F.lit(dates[-1]) if dates else F.lit(None).cast("date")
+    keyed = df.where(day <= last).withColumn("day", F.greatest(day, earliest))
     # Proven bound: a few rows per calendar day.
-    return keyed.join(F.broadcast(dates), "day")
+    return keyed.join(F.broadcast(_date_map(df.sparkSession, dates, window_days)), "day")
 
 
-def _event_parts(events: DataFrame, snapshots: DataFrame) -> DataFrame:
-    usage = _known_at(as_usage(events), F.col("event_date"), snapshots, _EVENT_WINDOW_DAYS)
+def _event_parts(events: DataFrame, dates: Sequence[date]) -> DataFrame:
+    usage = _known_at(as_usage(events), F.col("event_date"), dates, _EVENT_WINDOW_DAYS)
     age = F.datediff("prediction_date", "event_date")
     name, weight = F.col("event_name"), F.col("events")
     recent, previous = age <= 29, (age >= 30) & (age <= 59)
@@ -128,9 +126,9 @@ def _event_parts(events: DataFrame, snapshots: DataFrame) -> DataFrame:
     )
 
 
-def _billing_parts(invoices: DataFrame, snapshots: DataFrame) -> DataFrame:
+def _billing_parts(invoices: DataFrame, dates: Sequence[date]) -> DataFrame:
     columns = ("account_id", "invoice_id", "invoice_date", "billing_period_start", "plan", "amount", "payment_status")
-    known = _known_at(invoices.select(*columns), F.col("invoice_date"), snapshots, _BILLING_WINDOW_DAYS)
+    known = _known_at(invoices.select(*columns), F.col("invoice_date"), dates, _BILLING_WINDOW_DAYS)
     failed = F.col("payment_status") == "failed"
     first = F.col("first_known")
     order = (F.col("billing_period_start"), F.col("invoice_id"))
@@ -173,7 +171,7 @@ _CARRIED_MAXIMA = {
 }
 
 
-def _signals(events: DataFrame, invoices: DataFrame, snapshots: DataFrame) -> DataFrame:
+def _signals(events: DataFrame, invoices: DataFrame, snapshots: DataFrame, dates: Sequence[date]) -> DataFrame:
     """Event and billing signals on the snapshot rows, one shuffle by account.
 
     Snapshots, event parts and billing parts are stacked instead of joined.
@@ -181,8 +179,8 @@ def _signals(events: DataFrame, invoices: DataFrame, snapshots: DataFrame) -> Da
     the windows stay small for any account.
     """
     markers = snapshots.withColumn("is_snapshot", F.lit(True))
-    stacked = markers.unionByName(_event_parts(events, snapshots), allowMissingColumns=True).unionByName(
-        _billing_parts(invoices, snapshots), allowMissingColumns=True
+    stacked = markers.unionByName(_event_parts(events, dates), allowMissingColumns=True).unionByName(
+        _billing_parts(invoices, dates), allowMissingColumns=True
     )
     same_date = Window.partitionBy("account_id", "prediction_date")
     so_far = (
@@ -211,12 +209,16 @@ def churn_features(
     invoices: DataFrame,
     activation: DataFrame,
     horizon_days: int | None = 30,
+    dates: Sequence[date] | None = None,
 ) -> DataFrame:
     """Thirty features per snapshot with audit columns and the churn label.
 
     ``horizon_days=None`` leaves the label out, for scoring.  Audit columns are
-    the latest event and invoice used; they are not model inputs.
+    the latest event and invoice used; they are not model inputs.  ``dates``
+    are the prediction dates of the snapshots; they are looked up (one row per
+    month) when not given.
     """
+    dates = prediction_dates(snapshots) if dates is None else sorted(dates)
     d = F.col("prediction_date")
     account = accounts.select(
         "account_id",
@@ -232,7 +234,7 @@ def churn_features(
         "activation_date",
         F.col("days_to_activation").alias("activation_days"),
     )
-    joined = _signals(events, invoices, snapshots).join(account, "account_id").join(milestones, "account_id", "left")
+    joined = _signals(events, invoices, snapshots, dates).join(account, "account_id").join(milestones, "account_id", "left")
 
     last, previous = F.col("events_last_30d"), F.col("events_previous_30d")
     change = last - previous
@@ -288,11 +290,17 @@ def current_scoring_features(
     events: DataFrame,
     invoices: DataFrame,
     activation: DataFrame,
-    as_of: Column | None = None,
+    as_of: date | None = None,
 ) -> DataFrame:
-    """The same features for accounts that are active now, without a label."""
-    snapshots = current_snapshots(dim_account, events, as_of)
-    return churn_features(snapshots, dim_account, events, invoices, activation, horizon_days=None)
+    """The same features for accounts that are active now, without a label.
+
+    The date is the latest event date unless given; it is looked up first, so
+    that the plan works with a constant.
+    """
+    day = as_of or as_usage(events).agg(F.max("event_date")).first()[0]
+    snapshots = current_snapshots(dim_account, day)
+    dates = [day] if day else []
+    return churn_features(snapshots, dim_account, events, invoices, activation, horizon_days=None, dates=dates)
 
 
 def training_dataset(features: DataFrame) -> DataFrame:

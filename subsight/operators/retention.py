@@ -35,10 +35,11 @@ def retention_cohorts(accounts: DataFrame, events: DataFrame) -> DataFrame:
     calendar = (
         entry.groupBy("cohort_week")
         .agg(F.count_distinct("account_id").alias("cohort_size"))
+        .withColumn("last_week", last_week)
         .select(
             "cohort_week",
             "cohort_size",
-            F.explode(weeks_between_inclusive(F.col("cohort_week"), last_week)).alias("activity_week"),
+            F.explode(weeks_between_inclusive(F.col("cohort_week"), F.col("last_week"))).alias("activity_week"),
         )
     )
     active = (
@@ -73,14 +74,16 @@ def logo_churn(subscriptions: DataFrame, events: DataFrame) -> DataFrame:
     not churn.  Each subscription is laid out over the months it touches, so
     the cost follows subscription lifetimes instead of months times accounts.
     """
-    paid = subscriptions.where(F.col("subscription_start_date").isNotNull()).select(
-        "account_id", "subscription_start_date", "cancellation_date"
-    )
     last_month = as_usage(events).agg(month_start(F.max("event_date"))).scalar()
     start, cancel = F.col("subscription_start_date"), F.col("cancellation_date")
-    touched = months_between_inclusive(
-        month_start(start), F.least(last_month, F.coalesce(month_start(cancel), last_month))
-    )
+    paid = subscriptions.where(start.isNotNull()).select(
+        "account_id",
+        "subscription_start_date",
+        "cancellation_date",
+        month_start(start).alias("first_month"),
+        F.least(last_month, month_start(cancel)).alias("final_month"),  # least skips NULL
+    )
+    touched = months_between_inclusive(F.col("first_month"), F.col("final_month"))
     laid_out = paid.withColumn("month", F.explode(touched))
     month = F.col("month")
     next_month = F.add_months(month, 1)
@@ -97,8 +100,10 @@ def logo_churn(subscriptions: DataFrame, events: DataFrame) -> DataFrame:
         F.sum("churned").alias("churned_accounts"),
         F.sum("ending").alias("ending_accounts"),
     )
-    calendar = paid.agg(month_start(F.min("subscription_start_date")).alias("first")).select(
-        F.explode(months_between_inclusive(F.col("first"), last_month)).alias("month")
+    calendar = (
+        paid.agg(F.min("first_month").alias("first"))
+        .withColumn("last", last_month)
+        .select(F.explode(months_between_inclusive(F.col("first"), F.col("last"))).alias("month"))
     )
     return (
         calendar.join(counts, "month", "left")

@@ -118,7 +118,7 @@ def run_daily(
         usage,
         stored.invoices,
         marts["int_account_activation"],
-        None if score_as_of is None else F.lit(score_as_of),
+        score_as_of,
     )
     write_scores(score_frame(scorer(features)), f"{root}/scores")
     return report
