@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query, rounded
 from catalog.sql import ACTIVATION, CURRENT_SPINE, FEATURES, SCORED, SPINE, chain, reasons
-from catalog.usage import activation_of, dim_of
+from catalog.usage import dim_of
 from subsight.operators import evaluation as ev
 from subsight.operators import features as ft
 from subsight.operators import models as ml
 from subsight.operators import scoring as sc
+from subsight.operators.activation import account_activation
 from subsight.session import stable
 
 _TRAINING = chain(SPINE, ACTIVATION, FEATURES)
@@ -21,7 +22,8 @@ _CURRENT_SCORES = chain(_CURRENT, SCORED, reasons())
 
 def features_of(d):
     snapshots = ft.prediction_spine(d.subscriptions, d.invoices)
-    return ft.churn_features(snapshots, d.accounts, d.events, d.invoices, activation_of(d))
+    activation = account_activation(d.accounts, d.stored_events)
+    return ft.churn_features(snapshots, d.accounts, d.stored_events, d.invoices, activation)
 
 
 def stored_features_of(d):
@@ -29,8 +31,9 @@ def stored_features_of(d):
     return stable(features_of(d))
 
 
-def current_of(d):
-    return ft.current_scoring_features(dim_of(d), d.events, d.invoices, activation_of(d))
+def current_of(d, as_of=None):
+    activation = account_activation(d.accounts, d.stored_events)
+    return ft.current_scoring_features(dim_of(d), d.stored_events, d.invoices, activation, as_of)
 
 
 def with_score(features):
@@ -346,7 +349,4 @@ def _(d):
 )
 def _(d):
     """Scoring features on a date of choice instead of the latest event date."""
-    current = ft.current_scoring_features(
-        dim_of(d), d.events, d.invoices, activation_of(d), date(2024, 9, 15)
-    )
-    return current.select("account_id", "prediction_date", "events_last_30d", "monthly_revenue")
+    return current_of(d, date(2024, 9, 15)).select("account_id", "prediction_date", "events_last_30d", "monthly_revenue")

@@ -8,13 +8,15 @@ the source tables take part.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subsight.session import configure
+from subsight.schemas import EVENTS
+from subsight.session import configure, shared_folder
 from subsight.sources import tables
 from subsight.sources.events import stg_events
 
@@ -244,6 +246,13 @@ class TestData:
     def events(self) -> DataFrame:
         return stg_events(self.raw_events)
 
+    @cached_property
+    def stored_events(self) -> DataFrame:
+        """Deduplicated events as a stored table, for queries that read them often."""
+        path = f"{shared_folder(self.spark)}/stg_events-{uuid.uuid4().hex}"
+        self.events.write.parquet(path)
+        return self.spark.read.schema(EVENTS).parquet(path)
+
     @cached_property
     def messages(self) -> DataFrame:
         return stream_messages(self.table("events"))
