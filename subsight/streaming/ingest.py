@@ -36,6 +36,10 @@ class StreamSink:
     def ids(self) -> str:
         return f"{self.root}/event_ids"
 
+    @property
+    def compacted_ids(self) -> str:
+        return f"{self.root}/event_ids_compacted"
+
     @property
     def rejected(self) -> str:
         return f"{self.root}/rejected"
@@ -59,11 +63,43 @@ def dedup_batch(valid: DataFrame) -> DataFrame:
     return valid.withColumn("_delivery", F.row_number().over(arrival)).where("_delivery = 1").drop("_delivery")
 
 
+def _compacted_upto(spark: SparkSession, sink: StreamSink) -> int:
+    """Last batch covered by the newest complete compaction, or -1."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sink.compacted_ids}/upto=*/_SUCCESS")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = fs.globStatus(path) or []
+    return max((int(str(s.getPath().getParent().getName()).split("=")[1]) for s in done), default=-1)
+
+
 def known_ids(spark: SparkSession, sink: StreamSink, before: int) -> DataFrame | None:
-    """Ids persisted by earlier batches, from the id-only table."""
-    if not _exists(spark, f"{sink.ids}/batch_id=*"):
+    """Ids persisted by batches earlier than ``before``, from the id-only tables.
+
+    Reads the newest compaction and the batches after it.
+    """
+    upto = _compacted_upto(spark, sink)
+    parts = []
+    if upto >= 0:
+        parts.append(spark.read.schema("event_id string").parquet(f"{sink.compacted_ids}/upto={upto}"))
+    if _exists(spark, f"{sink.ids}/batch_id=*"):
+        batches = spark.read.schema("event_id string, batch_id long").parquet(sink.ids)
+        parts.append(batches.where((F.col("batch_id") > upto) & (F.col("batch_id") < before)).select("event_id"))
+    if not parts:
         return None
-    return spark.read.schema("event_id string, batch_id long").parquet(sink.ids).where(F.col("batch_id") < before)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def compact_ids(spark: SparkSession, sink: StreamSink, upto: int) -> None:
+    """Gather the ids of all batches up to ``upto`` (all of them finished).
+
+    Sorted files keep dedup scans small: each file then covers a narrow range
+    of ids.  The per-batch folders it covers may be removed afterwards; they
+    are not read any more.
+    """
+    covered = known_ids(spark, sink, before=upto + 1)
+    if covered is None or upto <= _compacted_upto(spark, sink):
+        return
+    target = f"{sink.compacted_ids}/upto={upto}"
+    covered.repartitionByRange("event_id").sortWithinPartitions("event_id").write.mode("overwrite").parquet(target)
 
 
 def drop_persisted(valid: DataFrame, persisted: DataFrame | None) -> DataFrame:
