@@ -412,12 +412,27 @@ def seat_and_status_validity(
 # --- report and gate --------------------------------------------------------------
 
 
-def quality_report(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per check: name, number of violating rows, whether it passed."""
-    report = None
-    for name, violations in checks.items():
-        row = violations.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check_name"), "violations")
-        report = row if report is None else report.unionByName(row)
+def count_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Violations of many row rules from a single scan of a table."""
+    counted = df.agg(*[F.count(F.when(failed, F.lit(1))).alias(name) for name, failed in rules.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"`{n}`").alias("violations")) for n in rules])
+    return counted.select(F.inline(pairs))
+
+
+def quality_report(checks: Mapping[str, DataFrame], counted: Iterable[DataFrame] = ()) -> DataFrame:
+    """One row per check: name, number of violating rows, whether it passed.
+
+    ``checks`` are violating rows by name; ``counted`` are results of
+    :func:`count_rules`.
+    """
+    parts = [
+        violations.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+        for name, violations in checks.items()
+    ]
+    parts.extend(counted)
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.unionByName(part)
     return report.withColumn("passed", F.col("violations") == 0)
 
 

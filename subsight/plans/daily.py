@@ -13,47 +13,51 @@ from subsight.operators import quality as q
 from subsight.operators.features import current_scoring_features
 from subsight.operators.scoring import score_frame
 from subsight.operators.snapshots import DATASETS, parse_logical_date
-from subsight.plans.marts import Staged, build_marts, materialise_events, read_marts
-from subsight.sinks.tables import write_marts, write_scores, write_snapshot
+from subsight.plans.marts import Staged, build_marts, materialise_events, stored_in
+from subsight.sinks.tables import write_scores, write_snapshot
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 
+_ENUMS = {
+    ("accounts", "plan"): schemas.PLANS,
+    ("accounts", "engagement_level"): schemas.ENGAGEMENT_LEVELS,
+    ("users", "role"): schemas.ROLES,
+    ("subscriptions", "plan"): schemas.PLANS,
+    ("subscriptions", "subscription_status"): schemas.SUBSCRIPTION_STATUSES,
+    ("invoices", "plan"): schemas.PLANS,
+    ("invoices", "payment_status"): schemas.PAYMENT_STATUSES,
+    ("events", "event_name"): schemas.EVENT_NAMES,
+    ("events", "event_version"): schemas.EVENT_VERSIONS,
+}
+_OPTIONAL = ("subscription_start_date", "cancellation_date")
+
+
+def staging_rules(staged: Staged) -> list[DataFrame]:
+    """Required columns and enums of the source tables, one scan per table."""
+    counted = []
+    for name in schemas.TABLES:
+        df = getattr(staged, name)
+        rules = {f"not_null_{name}_{c}": F.col(c).isNull() for c in df.columns if c not in _OPTIONAL}
+        for (table, column), values in _ENUMS.items():
+            if table == name:
+                rules[f"accepted_{name}_{column}"] = ~F.col(column).isin(*values)
+        counted.append(q.count_rules(df, rules))
+    return counted
+
+
 def staging_checks(staged: Staged) -> dict[str, DataFrame]:
-    """Keys, required columns, enums and relationships of the source tables."""
-    tables = {
-        "accounts": staged.accounts,
-        "users": staged.users,
-        "subscriptions": staged.subscriptions,
-        "invoices": staged.invoices,
-        "events": staged.events,
-    }
+    """Keys and relationships of the source tables."""
     checks: dict[str, DataFrame] = {}
-    for name, df in tables.items():
-        key = schemas.PRIMARY_KEYS[name]
-        checks[f"unique_{name}_{key}"] = q.unique(df, key)
-        required = [c for c in df.columns if c not in ("subscription_start_date", "cancellation_date")]
-        missing = F.greatest(*[F.col(c).isNull() for c in required])
-        checks[f"not_null_{name}"] = df.where(missing)
+    for name, key in schemas.PRIMARY_KEYS.items():
+        df = getattr(staged, name)
+        checks[f"unique_{name}_{key}"] = q.unique(df.select(key), key)
         if name != "accounts":
-            checks[f"relationship_{name}_account"] = q.relationships(df, staged.accounts, "account_id")
-    checks["relationship_events_user"] = q.relationships(staged.events, staged.users, "user_id")
+            checks[f"relationship_{name}_account"] = q.relationships(df.select("account_id"), staged.accounts, "account_id")
+    checks["relationship_events_user"] = q.relationships(staged.events.select("user_id"), staged.users, "user_id")
     checks["relationship_invoices_subscription"] = q.relationships(
-        staged.invoices, staged.subscriptions, "subscription_id"
+        staged.invoices.select("subscription_id"), staged.subscriptions, "subscription_id"
     )
-    enums = {
-        ("accounts", "plan"): schemas.PLANS,
-        ("accounts", "engagement_level"): schemas.ENGAGEMENT_LEVELS,
-        ("users", "role"): schemas.ROLES,
-        ("subscriptions", "plan"): schemas.PLANS,
-        ("subscriptions", "subscription_status"): schemas.SUBSCRIPTION_STATUSES,
-        ("invoices", "plan"): schemas.PLANS,
-        ("invoices", "payment_status"): schemas.PAYMENT_STATUSES,
-        ("events", "event_name"): schemas.EVENT_NAMES,
-        ("events", "event_version"): schemas.EVENT_VERSIONS,
-    }
-    for (table, column), values in enums.items():
-        checks[f"accepted_{table}_{column}"] = q.accepted_values(tables[table], column, values)
     return checks
 
 
@@ -104,11 +108,11 @@ def run_daily(
         write_snapshot(dataset, getattr(staged, dataset), logical, f"{root}/snapshots")
 
     spark = staged.accounts.sparkSession
-    stored, usage = materialise_events(staged, f"{root}/staging")
-    marts = read_marts(spark, write_marts(build_marts(stored, usage), f"{root}/marts"))
+    stored, usage = materialise_events(staged, f"{root}/marts")
+    marts = build_marts(stored, usage, stored_in(spark, f"{root}/marts"))
 
     checks = staging_checks(stored) | mart_checks(marts, stored.accounts, stored.subscriptions)
-    report = q.quality_report(checks | dict(extra_checks or {}))
+    report = q.quality_report(checks | dict(extra_checks or {}), staging_rules(stored))
     report.write.mode("overwrite").parquet(f"{root}/quality/date={logical.isoformat()}")
     report = spark.read.parquet(f"{root}/quality/date={logical.isoformat()}")
     q.require_quality(report)

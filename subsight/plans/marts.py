@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,7 +73,7 @@ def materialise_events(staged: Staged, folder: str) -> tuple[Staged, DataFrame]:
     stored tables, most of them from the much smaller roll-up.
     """
     spark = staged.accounts.sparkSession
-    events = spark.read.parquet(write_table(staged.events, folder, "stg_events"))
+    events = spark.read.parquet(write_table(fact_product_events(staged.events), folder, "fact_product_events"))
     usage = spark.read.parquet(write_table(daily_usage(events), folder, "daily_usage"))
     return (
         Staged(staged.accounts, staged.users, staged.subscriptions, staged.invoices, events),
@@ -81,38 +81,50 @@ def materialise_events(staged: Staged, folder: str) -> tuple[Staged, DataFrame]:
     )
 
 
-def build_marts(staged: Staged, usage: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All marts as lazy DataFrames; ``usage`` is the stored daily roll-up."""
-    activity_source = staged.events if usage is None else usage
-    activation = account_activation(staged.accounts, activity_source)
-    dim = dim_account(staged.accounts, staged.subscriptions)
-    activity = mart_account_activity(account_activity(staged.accounts, staged.users, activity_source))
-    revenue = account_monthly_revenue(staged.invoices, staged.subscriptions)
+Store = Callable[[str, DataFrame], DataFrame]
+
+
+def stored_in(spark: SparkSession, folder: str) -> Store:
+    """Write each mart when it is built and go on from the written table."""
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        return spark.read.schema(df.schema).parquet(write_table(df, folder, name))
+
+    return store
+
+
+def build_marts(staged: Staged, usage: DataFrame | None = None, store: Store | None = None) -> dict[str, DataFrame]:
+    """All marts by name.
+
+    ``usage`` is the stored daily roll-up, if there is one.  Without a store
+    the marts are lazy; with one, tables that feed others are computed once.
+    """
+    keep = store or (lambda _, df: df)
+    events = staged.events if usage is None else usage
+    marts: dict[str, DataFrame] = {}
+
+    def add(name: str, df: DataFrame) -> DataFrame:
+        marts[name] = keep(name, df)
+        return marts[name]
+
+    dim = add("dim_account", dim_account(staged.accounts, staged.subscriptions))
+    add("dim_user", dim_user(staged.users))
+    marts["fact_product_events"] = fact_product_events(staged.events)  # stored by materialise_events
+    add("fact_subscriptions", fact_subscriptions(staged.subscriptions))
+    activation = add("int_account_activation", account_activation(staged.accounts, events))
+    add("mart_activation", mart_activation(activation))
+    activity = add("mart_account_activity", mart_account_activity(account_activity(staged.accounts, staged.users, events)))
+    add("mart_feature_adoption", feature_adoption(staged.accounts, events))
+    add("mart_retention_cohorts", retention_cohorts(staged.accounts, events))
+    add("mart_logo_churn", logo_churn(staged.subscriptions, events))
+    revenue = add("int_account_monthly_revenue", account_monthly_revenue(staged.invoices, staged.subscriptions))
+    add("mart_revenue_churn", revenue_churn(revenue))
+    add("mart_revenue_retention", revenue_retention(revenue))
+    add("mart_retention_segments", retention_segments(dim))
+    add("mart_retention_behavior", retention_behavior(dim, activity))
     snapshots = prediction_spine(staged.subscriptions, staged.invoices)
-    return {
-        "dim_account": dim,
-        "dim_user": dim_user(staged.users),
-        "fact_product_events": fact_product_events(staged.events),
-        "fact_subscriptions": fact_subscriptions(staged.subscriptions),
-        "int_account_activation": activation,
-        "int_account_monthly_revenue": revenue,
-        "mart_activation": mart_activation(activation),
-        "mart_account_activity": activity,
-        "mart_feature_adoption": feature_adoption(staged.accounts, activity_source),
-        "mart_retention_cohorts": retention_cohorts(staged.accounts, activity_source),
-        "mart_logo_churn": logo_churn(staged.subscriptions, activity_source),
-        "mart_revenue_churn": revenue_churn(revenue),
-        "mart_revenue_retention": revenue_retention(revenue),
-        "mart_retention_segments": retention_segments(dim),
-        "mart_retention_behavior": retention_behavior(dim, activity),
-        "mart_churn_features": churn_features(
-            snapshots, staged.accounts, activity_source, staged.invoices, activation
-        ),
-    }
-
-
-def read_marts(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(path) for name, path in paths.items()}
+    add("mart_churn_features", churn_features(snapshots, staged.accounts, events, staged.invoices, activation))
+    return marts
 
 
 def load_models(marts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -134,16 +134,31 @@ def validate_contract(messages: DataFrame) -> DataFrame:
     return fields.select(*messages.columns, F.inline(F.array(checked)))
 
 
-def validate_ownership(checked: DataFrame, accounts: DataFrame, users: DataFrame) -> DataFrame:
+# Rows of ids a batch may broadcast: well under the limits of a broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcastable(ids: DataFrame, row_count: int | None) -> DataFrame:
+    """Hint a broadcast only for a counted, small number of ids.
+
+    Larger or uncounted ones are left to Spark, which shuffles both sides.
+    """
+    return F.broadcast(ids) if row_count is not None and row_count <= BROADCAST_ROWS else ids
+
+
+def validate_ownership(
+    checked: DataFrame, accounts: DataFrame, users: DataFrame, row_count: int | None = None
+) -> DataFrame:
     """Extend ``reason`` for contract-valid rows with the first ownership failure.
 
     The reference tables may be far larger than a batch, so they are first
-    reduced to the ids the batch names; Spark broadcasts whichever side is
-    small enough.
+    reduced to the ids the batch names.  ``row_count`` is the counted size of
+    the batch, if known: a small batch is broadcast to the reference tables,
+    which then need no shuffle.
     """
     named = checked.where("reason is null")
-    account_ids = named.select("account_id").distinct()
-    user_ids = named.select("user_id").distinct()
+    account_ids = broadcastable(named.select("account_id").distinct(), row_count)
+    user_ids = broadcastable(named.select("user_id").distinct(), row_count)
     known_accounts = (
         accounts.select("account_id").distinct().join(account_ids, "account_id", "left_semi").withColumn("_account", F.lit(True))
     )

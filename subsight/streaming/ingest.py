@@ -17,7 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from subsight.schemas import STREAM_COUNTERS
 from subsight.sources.tables import _exists
-from subsight.streaming.contract import event_row, rejected_row, validate_contract, validate_ownership
+from subsight.streaming.contract import (
+    broadcastable,
+    event_row,
+    rejected_row,
+    validate_contract,
+    validate_ownership,
+)
 
 References = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
 
@@ -91,9 +97,9 @@ def known_ids(spark: SparkSession, sink: StreamSink, before: int) -> DataFrame |
 def compact_ids(spark: SparkSession, sink: StreamSink, upto: int) -> None:
     """Gather the ids of all batches up to ``upto`` (all of them finished).
 
-    Sorted files keep dedup scans small: each file then covers a narrow range
-    of ids.  The per-batch folders it covers may be removed afterwards; they
-    are not read any more.
+    Keeps the id table in a few well-filled files instead of some per batch.
+    The per-batch folders it covers may be removed afterwards; they are not
+    read any more.
     """
     covered = known_ids(spark, sink, before=upto + 1)
     if covered is None or upto <= _compacted_upto(spark, sink):
@@ -102,11 +108,18 @@ def compact_ids(spark: SparkSession, sink: StreamSink, upto: int) -> None:
     covered.repartitionByRange("event_id").sortWithinPartitions("event_id").write.mode("overwrite").parquet(target)
 
 
-def drop_persisted(valid: DataFrame, persisted: DataFrame | None) -> DataFrame:
-    """Rows whose id has not been persisted yet, however long ago."""
+def drop_persisted(valid: DataFrame, persisted: DataFrame | None, row_count: int | None = None) -> DataFrame:
+    """Rows whose id has not been persisted yet, however long ago.
+
+    The persisted ids are many and the batch is small, so the ids are first
+    reduced to those of the batch.  A counted, small batch is broadcast for
+    that: the id table is then scanned in one column and never shuffled.
+    """
     if persisted is None:
         return valid
-    return valid.join(persisted.select("event_id"), "event_id", "left_anti")
+    wanted = broadcastable(valid.select("event_id").distinct(), row_count)
+    seen = persisted.select("event_id").join(wanted, "event_id", "left_semi").distinct()
+    return valid.join(seen, "event_id", "left_anti")
 
 
 def dedup_with_state(valid_stream: DataFrame) -> DataFrame:
@@ -142,10 +155,11 @@ def process_batch(messages: DataFrame, batch_id: int, references: References, si
     accounts, users = references(spark)
     # both are read several times; a lost block is recomputed from the source
     parsed = validate_contract(messages).persist()
-    checked = validate_ownership(parsed, accounts, users).persist()
+    row_count = parsed.count()
+    checked = validate_ownership(parsed, accounts, users, row_count).persist()
     try:
         first = dedup_batch(checked.where("reason is null"))
-        fresh = event_row(drop_persisted(first, known_ids(spark, sink, batch_id)))
+        fresh = event_row(drop_persisted(first, known_ids(spark, sink, batch_id), row_count))
         target = f"{sink.events}/batch_id={batch_id}"
         fresh.write.mode("overwrite").parquet(target)
         written = spark.read.parquet(target)

@@ -84,7 +84,7 @@ def small_tables(build):
 
 def test_daily_run_and_models(spark, build, tmp_path):
     report = run_daily("2024-02-20", small_tables(build), str(tmp_path), constant_score)
-    assert report.where("not passed").count() == 0 and report.count() > 50
+    assert report.where("not passed").count() == 0 and report.count() > 80
     scores = spark.read.parquet(f"{tmp_path}/scores")
     assert rows(scores, "account_id", "risk_bucket", "prediction_date") == [("A", "Medium", day("2024-02-20"))]
     stored = {name: spark.read.parquet(f"{tmp_path}/marts/{name}") for name in marts.REQUIRED_MODELS}
