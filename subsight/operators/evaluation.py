@@ -207,15 +207,12 @@ def evaluate_scores(
     tie = F.col(tie_break).alias("_tie")
     scored = stable(scored.select(F.col(score).alias("_score"), F.col(label).alias("_label"), tie))
     score, label, tie_break = "_score", "_label", "_tie"
-    ranking = ranking_metrics(scored, score, label)
+    # one-row results, attached as scalars
+    ranking = ranking_metrics(scored, score, label).select(F.struct("pr_auc", "roc_auc")).scalar()
+    lift = top_decile_lift(scored, score, label, tie_break).select("top_decile_lift").scalar()
     cells = threshold_metrics(scored, threshold, score, label)
-    lift = top_decile_lift(scored, score, label, tie_break).select("top_decile_lift")
-    one = F.lit(1).alias("_one")
-    return (
-        ranking.select(one, "pr_auc", "roc_auc")
-        .join(cells.select(one, *cells.columns), "_one")
-        .join(lift.select(one, "top_decile_lift"), "_one")
-        .drop("_one")
+    return cells.withColumns(
+        {"pr_auc": ranking.getField("pr_auc"), "roc_auc": ranking.getField("roc_auc"), "top_decile_lift": lift}
     )
 
 
