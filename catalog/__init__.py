@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("usage", "retention", "churn", "stream", "checks")
+_MODULES = ("usage", "retention", "churn", "stream", "checks", "stored")
 
 
 def load():

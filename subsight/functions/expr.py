@@ -24,10 +24,6 @@ def week_start(value: Column) -> Column:
     return F.trunc(value.cast("date"), "week")
 
 
-def day_start(day: Column) -> Column:
-    return day.cast("timestamp")
-
-
 def months_between_inclusive(first: Column, last: Column) -> Column:
     """Array of month starts from ``first`` to ``last``; NULL when empty.
 
@@ -74,19 +70,6 @@ def one_decimal_percent_text(value: Column) -> Column:
     return F.concat(F.format_string("%.1f", value * 100), F.lit("%"))
 
 
-def days_text(value: Column) -> Column:
-    """Median days without a needless decimal place."""
-    whole = value == F.floor(value)
-    return F.when(value.isNull(), "N/A").otherwise(
-        F.concat(
-            F.when(whole, value.cast("bigint").cast("string")).otherwise(
-                F.format_string("%.1f", value)
-            ),
-            F.lit(" days"),
-        )
-    )
-
-
 def plural(count: Column, singular: str) -> Column:
     """``1 failed payment`` / ``2 failed payments``."""
     return F.concat(
