@@ -55,17 +55,20 @@ def backfill(
 ) -> str:
     """Write the snapshots of many dates in one job.
 
-    Each date comes out as a single-date run would leave it.  Null or repeated
-    keys stop the run before anything is replaced.
+    Each date comes out as a single-date run would leave it; a date on which
+    nothing existed becomes an empty partition.  Null or repeated keys stop the
+    run before anything is replaced.
     """
     parsed = [d if isinstance(d, date) else parse_logical_date(d) for d in days]
     snapshot = snapshots_for_dates(dataset, df, parsed)
-    for problem in ("null", "duplicate"):
-        bad = key_violations(dataset, snapshot).where(F.col("problem") == problem)
-        if not bad.isEmpty():
-            raise ValueError(f"{dataset} snapshot contains {problem} {PRIMARY_KEYS[dataset]}")
+    problems = {row[0] for row in key_violations(dataset, snapshot).select("problem").distinct().collect()}
+    for problem in sorted(problems, reverse=True):
+        raise ValueError(f"{dataset} snapshot contains {problem} {PRIMARY_KEYS[dataset]}")
     path = f"{root}/{dataset}"
     _replace_dates(snapshot, path, PRIMARY_KEYS[dataset], files_per_date)
+    filled = {row[0] for row in snapshot.select("snapshot_date").distinct().collect()}
+    for day in sorted(set(parsed) - filled):
+        snapshot.limit(0).write.mode("overwrite").parquet(f"{path}/date={day.isoformat()}")
     return path
 
 

@@ -53,6 +53,12 @@ def test_backfill_equals_single_runs(spark, subscriptions, tmp_path):
     assert sorted(p.name for p in (tmp_path / "single" / "subscriptions").glob("date=*")) == [f"date={d}" for d in days]
 
 
+def test_rerun_without_rows_empties_the_date(spark, subscriptions, tmp_path):
+    path = sinks.backfill("subscriptions", subscriptions, ["2024-01-15", "2024-02-01"], str(tmp_path))
+    sinks.write_snapshot("subscriptions", subscriptions.where("false"), "2024-01-15", str(tmp_path))
+    assert rows(spark.read.parquet(path).select("date").distinct()) == [(day("2024-02-01"),)]
+
+
 def test_snapshot_refuses_bad_keys(spark, build, tmp_path):
     twice = build.accounts(dict(account_id="A"), dict(account_id="A"))
     with pytest.raises(ValueError, match="duplicate account_id"):
