@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from subsight import schemas
+
 
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Double quotient; NULL when the denominator is zero or NULL."""
@@ -79,25 +83,30 @@ def plural(count: Column, singular: str) -> Column:
     )
 
 
+def fill(template: str, **values: Column) -> Column:
+    """Text with ``{name}`` placeholders replaced by columns; NULL if one is NULL."""
+    parts = re.split(r"\{(\w+)\}", template)
+    pieces = [values[p].cast("string") if i % 2 else F.lit(p) for i, p in enumerate(parts) if i % 2 or p]
+    return F.concat(*pieces)
+
+
 def freshness_text(seconds: Column) -> Column:
     """Age in words: seconds, whole minutes, then hours with one decimal."""
-    minutes = F.greatest(F.lit(1), F.floor(seconds / 60).cast("bigint"))
+    minutes = F.floor(seconds / 60).cast("bigint")
     return (
-        F.when(seconds.isNull(), "No events yet")
-        .when(seconds < 60, F.concat(F.floor(seconds).cast("bigint").cast("string"), F.lit(" seconds ago")))
-        .when(
-            seconds < 3600,
-            F.concat(minutes.cast("string"), F.when(minutes == 1, " minute ago").otherwise(" minutes ago")),
-        )
-        .otherwise(F.concat(F.format_string("%.1f", seconds / 3600), F.lit(" hours ago")))
+        F.when(seconds.isNull(), schemas.FRESHNESS_EMPTY)
+        .when(seconds < 60, fill(schemas.FRESHNESS_SECONDS, n=F.floor(seconds).cast("bigint")))
+        .when(seconds < 120, fill(schemas.FRESHNESS_MINUTE, n=minutes))
+        .when(seconds < 3600, fill(schemas.FRESHNESS_MINUTES, n=minutes))
+        .otherwise(fill(schemas.FRESHNESS_HOURS, n=F.format_string("%.1f", seconds / 3600)))
     )
 
 
-def health_status(seconds: Column, limit_seconds: int = 300) -> Column:
+def health_status(seconds: Column, limit_seconds: int = schemas.HEALTHY_SECONDS) -> Column:
     return (
-        F.when(seconds.isNull(), "No data")
-        .when(seconds <= limit_seconds, "Healthy")
-        .otherwise("Stale")
+        F.when(seconds.isNull(), schemas.STREAM_EMPTY)
+        .when(seconds <= limit_seconds, schemas.STREAM_HEALTHY)
+        .otherwise(schemas.STREAM_STALE)
     )
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subsight.functions.expr import count_where, one_decimal_percent_text, percent_text, ratio_or_zero
+from subsight import schemas
+from subsight.functions.expr import count_where, fill, one_decimal_percent_text, percent_text, ratio_or_zero
 from subsight.operators.activity import feature_adoption, monthly_active_accounts
 from subsight.operators.usage import as_usage
 
@@ -76,13 +77,6 @@ def kpis(
     )
 
 
-_MILESTONE_STAGES = (
-    ("Workspace Created", "workspace_created"),
-    ("Invite Sent", "invite_sent"),
-    ("Integration Connected", "integration_connected"),
-)
-
-
 def activation_funnel(accounts: DataFrame, activation: DataFrame, events: DataFrame) -> DataFrame:
     """Accounts per onboarding stage and their share of the cohort.
 
@@ -93,17 +87,15 @@ def activation_funnel(accounts: DataFrame, activation: DataFrame, events: DataFr
     activated = activation.agg(count_where(F.col("is_activated"))).scalar()
     reached = (
         as_usage(events)
-        .where(F.col("event_name").isin(*[name for _, name in _MILESTONE_STAGES]))
+        .where(F.col("event_name").isin(*[name for _, name in schemas.FUNNEL_STAGES if name]))
         .groupBy("event_name")
         .agg(F.count_distinct("account_id").alias("reached"))
     )
-    stages = [(1, "Trial Started", None)]
-    stages += [(i, title, name) for i, (title, name) in enumerate(_MILESTONE_STAGES, start=2)]
-    stages += [(len(stages) + 1, "Activated", None)]
+    stages = [(i, title, name) for i, (title, name) in enumerate(schemas.FUNNEL_STAGES, start=1)]
     spine = accounts.sparkSession.createDataFrame(stages, "stage_order int, stage string, event_name string")
     count = (
-        F.when(F.col("stage") == "Trial Started", total)
-        .when(F.col("stage") == "Activated", activated)
+        F.when(F.col("stage_order") == 1, total)
+        .when(F.col("stage_order") == len(stages), activated)
         .otherwise(F.coalesce("reached", F.lit(0).cast("bigint")))
     )
     share = ratio_or_zero(count, total)
@@ -175,29 +167,22 @@ def insights(kpi: DataFrame, adoption: DataFrame, monthly: DataFrame, limit: int
     median_text = F.when(whole, median.cast("bigint").cast("string")).otherwise(F.format_string("%.1f", median))
     latest, before = F.get(latest_two, F.lit(0)), F.get(latest_two, F.lit(1))
     change = latest.getField("active_accounts") - before.getField("active_accounts")
-    adoption_text = lambda word: F.concat(
-        F.lit("Integration adoption ("),
-        percent_text(integration),
-        F.lit(f") is {word} than report creation adoption ("),
-        percent_text(report),
-        F.lit(")."),
-    )
+    rates = {"integration": percent_text(integration), "report": percent_text(report)}
     sentences = F.array_compact(
         F.array(
-            F.concat(percent_text(F.col("activation_rate")), F.lit(" of selected accounts reached activation.")),
-            F.when(median.isNotNull(), F.concat(F.lit("Median activation time is "), median_text, F.lit(" days."))),
-            F.when(integration < report, adoption_text("lower")).when(integration > report, adoption_text("higher")),
-            F.when(
-                F.size(latest_two) >= 2,
-                F.when(change > 0, F.concat(F.lit("Monthly active accounts increased by "), change.cast("string"), F.lit(" in the latest month.")))
-                .when(change < 0, F.concat(F.lit("Monthly active accounts decreased by "), F.abs(change).cast("string"), F.lit(" in the latest month.")))
-                .otherwise("Monthly active accounts were unchanged in the latest month."),
+            fill(schemas.INSIGHT_ACTIVATION, percent=percent_text(F.col("activation_rate"))),
+            F.when(median.isNotNull(), fill(schemas.INSIGHT_MEDIAN, days=median_text)),
+            F.when(integration < report, fill(schemas.INSIGHT_LOWER, **rates)).when(
+                integration > report, fill(schemas.INSIGHT_HIGHER, **rates)
             ),
+            F.when(change > 0, fill(schemas.INSIGHT_UP, count=change))
+            .when(change < 0, fill(schemas.INSIGHT_DOWN, count=F.abs(change)))
+            .when(change == 0, schemas.INSIGHT_SAME),
         )
     )
-    chosen = F.when(
-        F.col("total_accounts") == 0, F.array(F.lit("No accounts match the current filter selection."))
-    ).otherwise(F.slice(sentences, 1, limit))
+    chosen = F.when(F.col("total_accounts") == 0, F.array(F.lit(schemas.INSIGHT_EMPTY))).otherwise(
+        F.slice(sentences, 1, limit)
+    )
     return kpi.select(F.posexplode(chosen).alias("position", "insight"))
 
 
@@ -212,20 +197,22 @@ def retention_insights(segments: DataFrame, retention: DataFrame) -> DataFrame:
             F.min_by(F.struct("segment_value", "retention_rate"), "segment_value").alias("b")
         )
 
+    percent = one_decimal_percent_text(F.col("b.retention_rate"))
     plan = best("plan").select(
         F.lit(1).alias("position"),
-        F.concat("b.segment_value", F.lit(" had the highest observed plan retention at "),
-                 one_decimal_percent_text(F.col("b.retention_rate")), F.lit(".")).alias("insight"),
+        fill(schemas.INSIGHT_PLAN, plan=F.col("b.segment_value"), percent=percent).alias("insight"),
     )
     engagement = best("engagement_level").select(
         F.lit(2).alias("position"),
-        F.concat(F.initcap("b.segment_value"), F.lit("-engagement accounts had "),
-                 one_decimal_percent_text(F.col("b.retention_rate")), F.lit(" observed retention.")).alias("insight"),
+        fill(schemas.INSIGHT_ENGAGEMENT, level=F.initcap("b.segment_value"), percent=percent).alias("insight"),
     )
     latest = retention.agg(F.max_by(F.struct("nrr", "churned_mrr"), "month").alias("l")).select(
         F.lit(3).alias("position"),
-        F.concat(F.lit("Latest-month NRR was "), one_decimal_percent_text(F.col("l.nrr")), F.lit(", with $"),
-                 F.format_number(F.col("l.churned_mrr"), 0), F.lit(" churned MRR.")).alias("insight"),
+        fill(
+            schemas.INSIGHT_NRR,
+            percent=one_decimal_percent_text(F.col("l.nrr")),
+            amount=F.format_number(F.col("l.churned_mrr"), 0),
+        ).alias("insight"),
     )
     return plan.unionByName(engagement).unionByName(latest).where(F.col("insight").isNotNull())
 

@@ -15,7 +15,7 @@ from subsight.functions.expr import (
     weeks_between_inclusive,
 )
 from subsight.operators.usage import as_usage
-from subsight.schemas import MEANINGFUL_EVENTS
+from subsight.schemas import LARGEST_SIZE_BUCKET, MEANINGFUL_EVENTS, SIZE_BUCKETS
 
 def _zero(name: str):
     return F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)
@@ -122,9 +122,10 @@ def _paid_accounts(dim_account: DataFrame) -> DataFrame:
 
 
 def company_size_bucket(size: Column) -> Column:
-    return (
-        F.when(size <= 50, "1-50").when(size <= 250, "51-250").when(size <= 1000, "251-1000").otherwise("1001+")
-    )
+    bucket = F.lit(LARGEST_SIZE_BUCKET)
+    for limit, name in reversed(SIZE_BUCKETS):
+        bucket = F.when(size <= limit, name).otherwise(bucket)
+    return bucket
 
 
 def retention_segments(dim_account: DataFrame) -> DataFrame:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subsight.functions.expr import blank_to_null, percent_text, plural
-from subsight.schemas import RISK_BUCKETS, SCORE_COLUMNS
+from subsight import schemas
+from subsight.functions.expr import blank_to_null, fill, percent_text, plural
+from subsight.schemas import HIGH_RISK, MEDIUM_RISK, RISK_BUCKETS, SCORE_COLUMNS
 
 MAX_LISTED = 100
 
 
-def risk_bucket(probability: Column, high: float = 0.60, medium: float = 0.30) -> Column:
+def risk_bucket(probability: Column, high: float = HIGH_RISK, medium: float = MEDIUM_RISK) -> Column:
     return F.when(probability >= high, "High").when(probability >= medium, "Medium").otherwise("Low")
 
 
@@ -24,26 +25,20 @@ def risk_reasons(limit: int = 3) -> Column:
     idle, report_age = F.col("days_since_last_activity"), F.col("days_since_last_report")
     failed = F.col("failed_payments_last_90d")
 
-    def text(*parts) -> Column:
-        return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-
     signals = F.array(
-        F.when(change <= -0.30, text("activity declined ", percent_text(F.abs(change)), " versus the prior 30 days")),
-        F.when(seats < 0.25, text("only ", percent_text(seats), " of purchased seats were active")),
-        F.when(idle >= 14, text("last product activity was ", idle.cast("string"), " days ago")),
+        F.when(change <= -0.30, fill(schemas.REASON_DECLINE, percent=percent_text(F.abs(change)))),
+        F.when(seats < 0.25, fill(schemas.REASON_SEATS, percent=percent_text(seats))),
+        F.when(idle >= 14, fill(schemas.REASON_IDLE, days=idle)),
         F.when(
             F.col("reports_created_last_30d") == 0,
-            F.when(
-                report_age.isNotNull(),
-                text("no recent reports; last report was ", report_age.cast("string"), " days ago"),
-            ).otherwise("no report has been created"),
+            F.coalesce(fill(schemas.REASON_OLD_REPORT, days=report_age), F.lit(schemas.REASON_NO_REPORT)),
         ),
-        F.when(failed > 0, text(plural(failed, "failed payment"), " in 90 days")),
-        F.when(F.col("integrations_connected") == 0, F.lit("no integration was connected")),
-        F.when(F.col("active_users_last_30d") <= 1, F.lit("one or fewer active users in the last 30 days")),
+        F.when(failed > 0, fill(schemas.REASON_PAYMENTS, payments=plural(failed, "failed payment"))),
+        F.when(F.col("integrations_connected") == 0, F.lit(schemas.REASON_INTEGRATION)),
+        F.when(F.col("active_users_last_30d") <= 1, F.lit(schemas.REASON_USERS)),
     )
     found = F.array_compact(signals)
-    default = F.array(F.lit("risk reflects the combined model pattern rather than one dominant signal"))
+    default = F.array(F.lit(schemas.REASON_DEFAULT))
     return F.when(F.size(found) > 0, F.slice(found, 1, limit)).otherwise(default)
 
 
@@ -54,7 +49,7 @@ def with_reasons(features: DataFrame) -> DataFrame:
     ).drop("_reasons")
 
 
-def score_frame(scored_features: DataFrame, high: float = 0.60, medium: float = 0.30) -> DataFrame:
+def score_frame(scored_features: DataFrame, high: float = HIGH_RISK, medium: float = MEDIUM_RISK) -> DataFrame:
     """Score table from feature rows that already carry ``churn_probability``."""
     return (
         with_reasons(scored_features)
@@ -64,7 +59,7 @@ def score_frame(scored_features: DataFrame, high: float = 0.60, medium: float =
     )
 
 
-def score_accounts(model, features: DataFrame, high: float = 0.60, medium: float = 0.30) -> DataFrame:
+def score_accounts(model, features: DataFrame, high: float = HIGH_RISK, medium: float = MEDIUM_RISK) -> DataFrame:
     """Apply a fitted model and attach bucket, reasons and revenue."""
     from subsight.operators.models import predict
 

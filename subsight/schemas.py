@@ -41,6 +41,59 @@ MEANINGFUL_EVENTS = tuple(n for n in EVENT_NAMES if n != "workspace_created")
 
 RISK_BUCKETS = ("Low", "Medium", "High")
 
+# Lowest probability of a risk bucket.
+HIGH_RISK, MEDIUM_RISK = 0.60, 0.30
+
+# Upper limits of company size buckets, and the bucket beyond them.
+SIZE_BUCKETS = ((50, "1-50"), (250, "51-250"), (1000, "251-1000"))
+LARGEST_SIZE_BUCKET = "1001+"
+
+# Onboarding stages and the event that marks them.
+FUNNEL_STAGES = (
+    ("Trial Started", None),
+    ("Workspace Created", "workspace_created"),
+    ("Invite Sent", "invite_sent"),
+    ("Integration Connected", "integration_connected"),
+    ("Activated", None),
+)
+
+# Wording of risk reasons; the limits that trigger them are beside the rules.
+REASON_DECLINE = "activity declined {percent} versus the prior 30 days"
+REASON_SEATS = "only {percent} of purchased seats were active"
+REASON_IDLE = "last product activity was {days} days ago"
+REASON_OLD_REPORT = "no recent reports; last report was {days} days ago"
+REASON_NO_REPORT = "no report has been created"
+REASON_PAYMENTS = "{payments} in 90 days"
+REASON_INTEGRATION = "no integration was connected"
+REASON_USERS = "one or fewer active users in the last 30 days"
+REASON_DEFAULT = "risk reflects the combined model pattern rather than one dominant signal"
+
+# Wording of cohort observations.
+INSIGHT_EMPTY = "No accounts match the current filter selection."
+INSIGHT_ACTIVATION = "{percent} of selected accounts reached activation."
+INSIGHT_MEDIAN = "Median activation time is {days} days."
+INSIGHT_LOWER = "Integration adoption ({integration}) is lower than report creation adoption ({report})."
+INSIGHT_HIGHER = "Integration adoption ({integration}) is higher than report creation adoption ({report})."
+INSIGHT_UP = "Monthly active accounts increased by {count} in the latest month."
+INSIGHT_DOWN = "Monthly active accounts decreased by {count} in the latest month."
+INSIGHT_SAME = "Monthly active accounts were unchanged in the latest month."
+INSIGHT_PLAN = "{plan} had the highest observed plan retention at {percent}."
+INSIGHT_ENGAGEMENT = "{level}-engagement accounts had {percent} observed retention."
+INSIGHT_NRR = "Latest-month NRR was {percent}, with ${amount} churned MRR."
+
+# Wording of rejected stream messages that name an owner.
+UNKNOWN_ACCOUNT = "unknown account_id: {id}"
+UNKNOWN_USER = "unknown user_id: {id}"
+WRONG_OWNER = "user_id does not belong to account_id"
+
+# Stream health: words and the age in seconds up to which it is healthy.
+HEALTHY_SECONDS = 300
+STREAM_HEALTHY, STREAM_STALE, STREAM_EMPTY = "Healthy", "Stale", "No data"
+FRESHNESS_EMPTY = "No events yet"
+FRESHNESS_SECONDS = "{n} seconds ago"
+FRESHNESS_MINUTE, FRESHNESS_MINUTES = "{n} minute ago", "{n} minutes ago"
+FRESHNESS_HOURS = "{n} hours ago"
+
 CATEGORICAL_FEATURES = ("plan", "acquisition_channel")
 NUMERIC_FEATURES = (
     "company_size",

@@ -10,7 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subsight.schemas import DEVICE_TYPES, EVENT_NAMES, EVENT_SOURCES, EVENT_VERSIONS
+from subsight.functions.expr import fill
+from subsight.schemas import (
+    DEVICE_TYPES,
+    EVENT_NAMES,
+    EVENT_SOURCES,
+    EVENT_VERSIONS,
+    UNKNOWN_ACCOUNT,
+    UNKNOWN_USER,
+    WRONG_OWNER,
+)
 
 _FIELDS = (
     "event_id",
@@ -168,11 +177,11 @@ def validate_ownership(
     )
     reason = (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
-        .when(F.col("_account").isNull(), F.concat(F.lit("unknown account_id: "), F.col("account_id")))
-        .when(F.col("_user").isNull(), F.concat(F.lit("unknown user_id: "), F.col("user_id")))
+        .when(F.col("_account").isNull(), fill(UNKNOWN_ACCOUNT, id=F.col("account_id")))
+        .when(F.col("_user").isNull(), fill(UNKNOWN_USER, id=F.col("user_id")))
         .when(
             ~F.coalesce(F.col("_owner") == F.col("account_id"), F.lit(False)),
-            "user_id does not belong to account_id",
+            WRONG_OWNER,
         )
     )
     return joined.withColumn("reason", reason).select(*checked.columns)
