@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subsight.llm.near_dup import near_duplicates
 from subsight.llm.secrets import secret_digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,35 @@ def query(name: str, sql: str | None = None):
 @query("op3_secret_scan")
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
+
+
+_WORDS_SQL = r"""WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+"""
+
+_OP10_SQL = (
+    _WORDS_SQL
+    + """sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN generate_series(1, len(w) - 4)]) END AS s
+  FROM texts),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS o
+  FROM flat x JOIN flat y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common WHERE 100 * o >= 85 * (na + nb - o)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents
+  UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.seen = e.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.low AS component_id, s.doc_id = r.low AS kept
+FROM sets s JOIN (SELECT node, min(seen) AS low FROM reach GROUP BY 1) r ON s.doc_id = r.node"""
+)
+
+
+@query("op10_minhash_near_dedup", _OP10_SQL)
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
