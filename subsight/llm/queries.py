@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subsight.llm.bpe import encode_documents
 from subsight.llm.near_dup import near_duplicates
 from subsight.llm.secrets import secret_digest
 
@@ -62,3 +63,21 @@ FROM sets s JOIN (SELECT node, min(seen) AS low FROM reach GROUP BY 1) r ON s.do
 @query("op10_minhash_near_dedup", _OP10_SQL)
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Rank file of the tokenizer; read on the driver and sent with the tasks.
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+def tokenizer(name: str = RANK_FILE) -> tuple[bytes, str]:
+    """Content of a rank file and the pattern that splits texts before it."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read(), public_tokenizers.PATTERN
+
+
+@query("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = tokenizer()
+    return encode_documents(table(spark, sf_dir, "documents"), ranks, pattern, ids=False)
