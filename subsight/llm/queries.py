@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from subsight.llm.bpe import encode_documents
+from subsight.llm.language import document_languages
 from subsight.llm.near_dup import near_duplicates
 from subsight.llm.secrets import secret_digest
+from subsight.llm.sharding import sharded_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +83,13 @@ def tokenizer(name: str = RANK_FILE) -> tuple[bytes, str]:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer()
     return encode_documents(table(spark, sf_dir, "documents"), ranks, pattern, ids=False)
+
+
+@query("op5_crf_language_id")
+def op5_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op9_flow_resharding")
+def op9_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded_documents(table(spark, sf_dir, "documents"))
