@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from subsight.llm.bpe import encode_documents
+from subsight.llm.edit_embedding import edited_fingerprints
 from subsight.llm.language import document_languages
 from subsight.llm.near_dup import near_duplicates
 from subsight.llm.secrets import secret_digest
@@ -93,3 +94,8 @@ def op5_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_flow_resharding")
 def op9_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op6_edit_fingerprints")
+def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
