@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from subsight.llm.bpe import encode_documents
+from subsight.llm.decontaminate import find_leaks
 from subsight.llm.edit_embedding import edited_fingerprints
 from subsight.llm.language import document_languages
 from subsight.llm.near_dup import near_duplicates
@@ -99,3 +100,8 @@ def op9_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_edit_fingerprints")
 def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op1_edit_decontamination")
+def op1_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
