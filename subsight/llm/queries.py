@@ -13,6 +13,7 @@ from subsight.llm.language import document_languages
 from subsight.llm.near_dup import near_duplicates
 from subsight.llm.secrets import secret_digest
 from subsight.llm.sharding import sharded_documents
+from subsight.llm.warc import header_text, page_captures, resolve_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +106,53 @@ def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_edit_decontamination")
 def op1_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_OP4_SQL = r"""WITH captures AS (
+  SELECT page_id AS p, c, url || CASE WHEN c % 2 = 1 THEN '#again' ELSE '' END AS url,
+    page_id * 10 + c * 86400 + 1700000000 AS at, md5(html) AS digest, strlen(html) AS bytes,
+    (c = 0 AND page_id % 11 <> 0) OR (c = 2 AND page_id % 7 = 0) AS full_,
+    CASE WHEN page_id % 7 = 0 AND c >= 2 THEN 'b' WHEN c = 1 AND page_id % 5 = 0 THEN 'x' ELSE 'a' END AS v
+  FROM pages, (SELECT unnest([0, 1, 2, 3]) AS c)),
+bare AS (SELECT *, regexp_replace(trim(url), '#.*$', '') AS u FROM captures),
+parts AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(
+        regexp_extract(u, '^https?://([^/?]+)([^?]*)[?]?(.*)$', 1)), '^.*@', ''), ':(80|443)$', ''),
+      '^(www[0-9]*|m)\.', '') AS host,
+    regexp_replace(regexp_extract(u, '^https?://([^/?]+)([^?]*)[?]?(.*)$', 2), '/+$', '') AS path,
+    array_to_string(list_sort([
+      x FOR x IN string_split(regexp_extract(u, '^https?://([^/?]+)([^?]*)[?]?(.*)$', 3), '&')
+      IF x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]*|fbclid|gclid|sessionid|phpsessid|jsessionid)(=|$)')]), '&') AS q
+  FROM bare),
+records AS (
+  SELECT p * 4 + c AS id, host || path || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS url_key, *,
+    '"' || v || '-' || digest || '"' AS tag FROM parts),
+matched AS (
+  SELECT r.id, max(s.id) FILTER (s.id IS NOT NULL AND (s.at, s.id) = m) AS sid FROM (
+    SELECT r.id, r.url_key, max((s.at, s.id)) AS m
+    FROM records r LEFT JOIN records s ON s.full_ AND s.url_key = r.url_key AND (s.at, s.id) < (r.at, r.id)
+    WHERE NOT r.full_ GROUP BY 1, 2) r
+  LEFT JOIN records s ON s.full_ AND s.url_key = r.url_key GROUP BY 1),
+judged AS (
+  SELECT r.*, s.id AS sid, s.tag AS stag, s.v AS sv, s.digest AS sdigest, s.bytes AS sbytes,
+    CASE WHEN s.id IS NULL THEN 'unmatched' WHEN r.p % 6 = 0 THEN 'unverified'
+      WHEN r.p % 6 > 1 AND r.tag = s.tag THEN 'resolved'
+      WHEN r.p % 6 = 1 AND r.v = s.v THEN 'resolved' ELSE 'changed' END AS outcome
+  FROM records r JOIN matched m ON r.id = m.id LEFT JOIN records s ON m.sid = s.id)
+SELECT id AS record_id, url_key, outcome, sid AS response_id,
+  'cache-control: max-age=' || c || chr(10)
+  || CASE WHEN outcome IN ('resolved', 'unverified') THEN 'content-length: ' || sbytes || chr(10) || 'content-type: text/html'
+     ELSE 'content-length: 0' END || chr(10)
+  || CASE WHEN p % 6 > 1 THEN 'etag: ' || CASE WHEN p % 2 = 1 THEN 'W/' ELSE '' END || tag || chr(10)
+     WHEN outcome IN ('resolved', 'unverified') THEN 'etag: ' || stag || chr(10) ELSE '' END
+  || CASE WHEN p % 6 = 1 THEN 'last-modified: day ' || v || chr(10)
+     WHEN outcome IN ('resolved', 'unverified') THEN 'last-modified: day ' || sv || chr(10) ELSE '' END
+  || 'x-cache: hit' AS headers,
+  CASE WHEN outcome IN ('resolved', 'unverified') THEN sdigest || sv END AS payload
+FROM judged"""
+
+
+@query("op4_revisit_resolution", _OP4_SQL)
+def op4_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolve_revisits(page_captures(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", header_text(found["headers"]))
