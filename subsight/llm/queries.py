@@ -11,6 +11,7 @@ from subsight.llm.decontaminate import find_leaks
 from subsight.llm.edit_embedding import edited_fingerprints
 from subsight.llm.language import document_languages
 from subsight.llm.near_dup import near_duplicates
+from subsight.llm.pitman_yor import lm_scores
 from subsight.llm.secrets import secret_digest
 from subsight.llm.sharding import sharded_documents
 from subsight.llm.warc import header_text, page_captures, resolve_revisits
@@ -156,3 +157,8 @@ FROM judged"""
 def op4_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resolve_revisits(page_captures(table(spark, sf_dir, "pages")))
     return found.withColumn("headers", header_text(found["headers"]))
+
+
+@query("op2_pitman_yor_scores")
+def op2_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
