@@ -11,6 +11,7 @@ from subsight.llm.decontaminate import find_leaks
 from subsight.llm.edit_embedding import edited_fingerprints
 from subsight.llm.language import document_languages
 from subsight.llm.near_dup import near_duplicates
+from subsight.llm.passages import repeated_passages
 from subsight.llm.pitman_yor import lm_scores
 from subsight.llm.secrets import secret_digest
 from subsight.llm.sharding import sharded_documents
@@ -162,3 +163,8 @@ def op4_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_pitman_yor_scores")
 def op2_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op8_chained_passages")
+def op8_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
