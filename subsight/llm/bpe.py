@@ -267,17 +267,15 @@ def encode_documents(
                 ]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if ids:
-                    columns.append(pa.array(joined))
+                    flat = np.fromstring(",".join(filter(None, joined)), np.int32, sep=",")
+                    bounds = np.concatenate([[0], np.cumsum(columns[1].to_numpy())]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(f"`{id_column}`").cast("bigint").alias(id_column), F.col(f"`{text}`").cast("string").alias(text))
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    if not ids:
-        return rows.mapInArrow(build, schema)
-    encoded = rows.mapInArrow(build, schema + ", ids string")
-    as_ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(F.split("ids", ",").cast("array<int>"))
-    return encoded.withColumn("ids", as_ids)
+    return rows.mapInArrow(build, schema + (", ids array<int>" if ids else ""))
 
 
 _READ: dict[int, Vocabulary] = {}

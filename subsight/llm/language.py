@@ -372,3 +372,32 @@ def document_languages(docs: DataFrame, rule: CrfRule = CrfRule()) -> DataFrame:
     """Predicted language of every document, from a model fitted on the others."""
     found = label_documents(docs.select("doc_id", "text"), fit_on(docs, rule), segments=False)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, model: CrfModel, text: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows, with all columns, whose language is determined.
+
+    Texts without a letter go, and those whose best language has a share under
+    ``least``; mixed texts of known languages stay.
+    """
+    columns = docs.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    at = columns.index(text)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        tagger = Tagger(own)
+        for batch in batches:
+            for piece in pieces(batch, text, 8 << 20):
+                best = np.zeros(piece.num_rows)
+                if own.labels:
+                    post, letters, lengths = tagger.tag(piece.column(at).to_pylist())
+                    full = np.flatnonzero(lengths)
+                    if len(full):
+                        heads = (np.cumsum(lengths) - lengths)[full]
+                        share = np.add.reduceat(post * letters[:, None], heads, axis=0, dtype=np.float64)
+                        best[full] = share.max(axis=1) / share.sum(axis=1)
+                yield piece.filter(pa.array(best >= least))
+
+    return docs.mapInArrow(build, schema)
