@@ -156,14 +156,15 @@ def near_duplicates(
     )
     heads = heads.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "subs").dropDuplicates(["node"])
 
-    bands = stable(_table_keys(heads, rule))
+    own = stable(_shared_sub_keys(heads, rule))
+    bands = _table_keys(own)
     buckets = bands.groupBy("key").agg(
         F.max(F.struct("pop", F.negative("node").alias("m"), "n")).alias("hub"), F.count(F.lit(1)).alias("members")
     )
     buckets = buckets.where("members > 1").select(
         "key", "members", F.negative("hub.m").alias("hub"), F.col("hub.n").alias("hub_n")
     )
-    members = stable(bands.select("key", "node", "n").join(buckets, "key"))
+    members = stable(bands.join(buckets, "key"))
 
     # a bucket's hub against every member
     possible = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * rule.percent
@@ -176,41 +177,53 @@ def near_duplicates(
     links = stable(_verified(stars.distinct(), sets, rule.percent))
     found = components(links)
 
-    rest = _left_over(members, found, sets, rule)
+    rest = _left_over(members, own, found, sets, rule)
     links = links.union(_verified(rest, sets, rule.percent))
     found = components(links)
     return _labelled(sketch, placed, found)
 
 
-def _table_keys(heads: DataFrame, rule: NearDup) -> DataFrame:
-    """(key, node, n, pop) for the tables in which a node can meet another one.
+def _shared_sub_keys(heads: DataFrame, rule: NearDup) -> DataFrame:
+    """Per node its sub-keys of either collection, in order.
 
-    A sub-key that no other node has leads nowhere, in any of its tables.
+    A sub-key that no other node has leads nowhere, in any of its tables, and
+    is left out; ``pop`` counts how often the others occur.
     """
     subs = heads.select("node", "n", F.posexplode("subs").alias("slot", "sub"))
     shared = subs.groupBy("sub").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     kept = subs.join(shared, "sub").groupBy("node", "n").agg(
         F.sum("many").alias("pop"), F.collect_list(F.struct("slot", "sub")).alias("own")
     )
-    first = F.filter("own", lambda s: s["slot"] < rule.count)
-    second = F.filter("own", lambda s: s["slot"] >= rule.count)
-    pairs = F.flatten(
-        F.transform(first, lambda x: F.transform(second, lambda y: F.xxhash64(x["slot"], x["sub"], y["slot"], y["sub"])))
+    own_a, own_b = (
+        F.transform(F.array_sort(F.filter("own", side)), lambda s: s["sub"])
+        for side in (lambda s: s["slot"] < rule.count, lambda s: s["slot"] >= rule.count)
     )
-    return kept.select("node", "n", "pop", F.explode(pairs).alias("key"))
+    return kept.select("node", "n", "pop", own_a.alias("own_a"), own_b.alias("own_b"))
 
 
-def _left_over(members: DataFrame, found: DataFrame, sets: DataFrame, rule: NearDup) -> DataFrame:
-    """Pairs of a bucket that the hubs have left in different components."""
-    labelled = members.select("key", "node", "n", "members").join(
-        found.select("node", "component"), "node", "left"
-    )
+def _table_keys(own: DataFrame) -> DataFrame:
+    """A row per node and table in which it can meet another node."""
+    pairs = F.flatten(F.transform("own_a", lambda x: F.transform("own_b", lambda y: F.xxhash64(x, y))))
+    return own.select("node", "n", "pop", F.explode(pairs).alias("key"))
+
+
+def _left_over(
+    members: DataFrame, own: DataFrame, found: DataFrame, sets: DataFrame, rule: NearDup
+) -> DataFrame:
+    """Pairs of a bucket that the hubs have left in different components.
+
+    Each pair comes from one table only, the first that its members share.
+    """
+    labelled = members.drop("hub_n", "pop").join(found.select("node", "component"), "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     # buckets whose members are all in one component need no more comparing
     open_keys = labelled.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least")
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+        F.min("n").alias("least"),
+        F.max(F.when(F.col("node") == F.col("hub"), F.col("component"))).alias("main"),
     )
-    labelled = stable(labelled.join(open_keys.where("lo < hi").select("key", "least"), "key"))
+    labelled = stable(labelled.join(open_keys.where("lo < hi").select("key", "least", "main"), "key"))
 
     large = labelled.where(F.col("members") > SMALL_BUCKET)
     inside = large.select("node").distinct()
@@ -221,20 +234,25 @@ def _left_over(members: DataFrame, found: DataFrame, sets: DataFrame, rule: Near
     large = large.join(shared, "node").where(
         _reaches(F.col("shared"), F.col("n"), F.greatest("shared", "least"), rule.percent)
     )
-    columns = ["key", "node", "n", "component", "shared"]
+    columns = ["key", "node", "n", "component", "main", "shared"]
     open_members = labelled.where(F.col("members") <= SMALL_BUCKET).withColumn("shared", F.col("n")).select(columns)
-    open_members = open_members.union(large.select(columns))
+    open_members = stable(open_members.union(large.select(columns)).join(own.select("node", "own_a", "own_b"), "node"))
 
-    one, two = open_members.alias("x"), open_members.alias("y")
-    bound = F.least("x.shared", "y.shared")
+    # members of the hub's component are done with each other
+    one, two = open_members.where("component <> main").alias("x"), open_members.alias("y")
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    first = F.xxhash64(
+        F.get(F.array_intersect("x.own_a", "y.own_a"), F.lit(0)), F.get(F.array_intersect("x.own_b", "y.own_b"), F.lit(0))
+    )
     joined = one.join(
         two,
         (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.node") < F.col("y.node"))
         & (F.col("x.component") != F.col("y.component"))
-        & _reaches(bound, F.col("x.n"), F.col("y.n"), rule.percent),
+        & once
+        & _reaches(F.least("x.shared", "y.shared"), F.col("x.n"), F.col("y.n"), rule.percent)
+        & (F.col("x.key") == first),
     )
-    return joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def _labelled(sketch: DataFrame, placed: DataFrame, found: DataFrame) -> DataFrame:
