@@ -185,8 +185,8 @@ def near_pairs(
     id_column: str = "doc_id",
     text: str = "text",
     least: float = 0.8,
-    bands: int = 24,
-    sampled: int = 16,
+    bands: int = 48,
+    sampled: int = 12,
     rule: EditRule = EditRule(),
 ) -> DataFrame:
     """Pairs (a, b, distance) of documents with edit similarity ``least`` or more.
@@ -249,7 +249,7 @@ def with_next(docs: DataFrame, buckets: int) -> tuple[DataFrame, int]:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shares = [i / buckets for i in range(1, buckets)]
     cuts = rows.agg(F.percentile_approx("doc_id", shares, 10 * buckets)).first()[0] if shares else []
-    splits = [float("-inf"), *sorted({float(c) for c in cuts or []}), float("inf")]
+    splits = [float("-inf"), *sorted({float(c) for c in cuts or [0]}), float("inf")]
     # rows without an id get the bucket after the last, which stands for -1 here
     sorter = Bucketizer(splits=splits, inputCol="_at", outputCol="_bucket", handleInvalid="keep")
     dealt = sorter.transform(rows.withColumn("_at", F.col("doc_id").cast("double"))).drop("_at")
