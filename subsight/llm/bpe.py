@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subsight.llm.text import pieces
 
@@ -295,7 +296,7 @@ def decode_documents(encoded: DataFrame, ranks: bytes, ids: str = "ids", out: st
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
     columns = [c for c in encoded.columns if c != out]
     kept = encoded.select(*[f"`{c}`" for c in columns])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    schema = T.StructType([*kept.schema.fields, T.StructField(out, T.StringType())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared.value)
@@ -306,4 +307,4 @@ def decode_documents(encoded: DataFrame, ranks: bytes, ids: str = "ids", out: st
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, out])
 
-    return kept.mapInArrow(build, f"{schema}, `{out}` string")
+    return kept.mapInArrow(build, schema)

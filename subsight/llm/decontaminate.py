@@ -347,7 +347,6 @@ def drop_leaks(
 ) -> DataFrame:
     """The rows, with all columns, that leak no item; NULL texts stay."""
     columns = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     at = columns.index(text)
     kept = docs
     for items in _items_in_chunks(benchmark, item_id, "text", rule):
@@ -360,5 +359,5 @@ def drop_leaks(
                     clean[shared.value.find(trimmed_words(piece.column(at)))[:, 0]] = False
                     yield piece.filter(pa.array(clean))
 
-        kept = kept.mapInArrow(build, schema)
+        kept = kept.mapInArrow(build, docs.schema)
     return kept

@@ -381,7 +381,6 @@ def keep_identified(docs: DataFrame, model: CrfModel, text: str = "text", least:
     ``least``; mixed texts of known languages stay.
     """
     columns = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     at = columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -400,4 +399,4 @@ def keep_identified(docs: DataFrame, model: CrfModel, text: str = "text", least:
                         best[full] = share.max(axis=1) / share.sum(axis=1)
                 yield piece.filter(pa.array(best >= least))
 
-    return docs.mapInArrow(build, schema)
+    return docs.mapInArrow(build, docs.schema)

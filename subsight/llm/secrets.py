@@ -17,6 +17,7 @@ from math import log2
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subsight.llm.text import pieces
 
@@ -159,7 +160,8 @@ def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", **rule
     """
     columns = [c for c in df.columns if c != out]
     kept = df.select(*[f"`{c}`" for c in columns])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    spans_type = T.StructType().add(out, T.DataType.fromDDL(SPAN_TYPE)).fields
+    schema = T.StructType([*kept.schema.fields, *spans_type])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(**rules)
@@ -175,7 +177,7 @@ def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", **rule
                     [*piece.columns, pa.array(spans, pa.list_(kind_of))], names=[*columns, out]
                 )
 
-    return kept.mapInArrow(scan, f"{schema}, `{out}` {SPAN_TYPE}")
+    return kept.mapInArrow(scan, schema)
 
 
 def redact(df: DataFrame, text: str = "text", mask: str = "[secret]", **rules) -> DataFrame:
@@ -184,7 +186,6 @@ def redact(df: DataFrame, text: str = "text", mask: str = "[secret]", **rules) -
     Overlapping spans are replaced once.  NULL stays NULL.
     """
     columns = df.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     at = columns.index(text)
 
     def clean(scanner: Scanner, value: str | None) -> str | None:
@@ -206,7 +207,7 @@ def redact(df: DataFrame, text: str = "text", mask: str = "[secret]", **rules) -
                 arrays[at] = pa.array(values, arrays[at].type)
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return df.mapInArrow(scan, schema)
+    return df.mapInArrow(scan, df.schema)
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
