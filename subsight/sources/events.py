@@ -15,11 +15,11 @@ def empty_stream_df(spark: SparkSession) -> DataFrame:
 
 
 def read_stream_files(spark: SparkSession, path: str) -> DataFrame:
-    """Landed events; files may lack optional columns, which read as NULL."""
-    present = spark.read.option("mergeSchema", True).parquet(path)
-    missing = [f for f in schemas.STREAM_LANDING.fields if f.name not in present.columns]
-    filled = present.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
-    return typed(filled, schemas.STREAM_LANDING)
+    """Landed events; columns that a file lacks read as NULL.
+
+    The schema is given, so no footer is read to find it.
+    """
+    return typed(spark.read.schema(schemas.STREAM_LANDING).parquet(path), schemas.STREAM_LANDING)
 
 
 def stg_events(batch: DataFrame, streamed: DataFrame | None = None) -> DataFrame:

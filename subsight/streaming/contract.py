@@ -143,48 +143,35 @@ def validate_contract(messages: DataFrame) -> DataFrame:
     return fields.select(*messages.columns, F.inline(F.array(checked)))
 
 
-# Rows of ids a batch may broadcast: well under the limits of a broadcast.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcastable(ids: DataFrame, row_count: int | None) -> DataFrame:
-    """Hint a broadcast only for a counted, small number of ids.
-
-    Larger or uncounted ones are left to Spark, which shuffles both sides.
-    """
-    return F.broadcast(ids) if row_count is not None and row_count <= BROADCAST_ROWS else ids
-
-
-def validate_ownership(
-    checked: DataFrame, accounts: DataFrame, users: DataFrame, row_count: int | None = None
-) -> DataFrame:
+def validate_ownership(checked: DataFrame, accounts: DataFrame, users: DataFrame) -> DataFrame:
     """Extend ``reason`` for contract-valid rows with the first ownership failure.
 
-    The reference tables may be far larger than a batch, so they are first
-    reduced to the ids the batch names.  ``row_count`` is the counted size of
-    the batch, if known: a small batch is broadcast to the reference tables,
-    which then need no shuffle.
+    Messages that broke the contract are not joined at all: a storm of them,
+    without ids, would meet in one task.  The reference tables may be far
+    larger than a batch, so they are first reduced to the ids the batch names.
+    A user listed under several accounts owns all of them; every join matches
+    once at most, so that messages cannot multiply.
     """
     named = checked.where("reason is null")
-    account_ids = broadcastable(named.select("account_id").distinct(), row_count)
-    user_ids = broadcastable(named.select("user_id").distinct(), row_count)
+    account_ids = named.select("account_id").distinct()
+    user_ids = named.select("user_id").distinct()
     known_accounts = (
         accounts.select("account_id").distinct().join(account_ids, "account_id", "left_semi").withColumn("_account", F.lit(True))
     )
-    owners = users.select("user_id", F.col("account_id").alias("_owner")).join(user_ids, "user_id", "left_semi")
-    joined = checked.join(known_accounts, "account_id", "left").join(
-        owners.withColumn("_user", F.lit(True)), "user_id", "left"
+    owned = users.select("user_id", "account_id").join(user_ids, "user_id", "left_semi").distinct()
+    known_users = owned.select("user_id").distinct().withColumn("_user", F.lit(True))
+    joined = (
+        named.join(known_accounts, "account_id", "left")
+        .join(known_users, "user_id", "left")
+        .join(owned.withColumn("_owner", F.lit(True)), ["user_id", "account_id"], "left")
     )
     reason = (
-        F.when(F.col("reason").isNotNull(), F.col("reason"))
-        .when(F.col("_account").isNull(), fill(UNKNOWN_ACCOUNT, id=F.col("account_id")))
+        F.when(F.col("_account").isNull(), fill(UNKNOWN_ACCOUNT, id=F.col("account_id")))
         .when(F.col("_user").isNull(), fill(UNKNOWN_USER, id=F.col("user_id")))
-        .when(
-            ~F.coalesce(F.col("_owner") == F.col("account_id"), F.lit(False)),
-            WRONG_OWNER,
-        )
+        .when(F.col("_owner").isNull(), WRONG_OWNER)
     )
-    return joined.withColumn("reason", reason).select(*checked.columns)
+    judged = joined.withColumn("reason", reason).select(*checked.columns)
+    return judged.unionByName(checked.where("reason is not null"))
 
 
 def event_row(valid: DataFrame, received_at: Column | None = None) -> DataFrame:

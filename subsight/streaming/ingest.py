@@ -4,21 +4,26 @@ Each micro-batch writes only its own ``batch_id=N`` folders, with overwrite.
 A batch that is replayed after a crash therefore replaces its own output, and
 the checkpoint advances after the writes: at-least-once delivery ends up as
 exactly one persisted row per event id.
+
+Persisted ids are kept in runs, as in a log-structured merge: when a batch
+number is a multiple of 16, the 16 runs before it become one, in folders by
+hash of the id.  A batch reads, of a few runs per digit of its number, the
+folders its own ids fall into.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from subsight.schemas import STREAM_COUNTERS
 from subsight.sources.tables import _exists
 from subsight.streaming.contract import (
-    broadcastable,
     event_row,
     rejected_row,
     validate_contract,
@@ -27,24 +32,26 @@ from subsight.streaming.contract import (
 
 References = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
 
+#: Batches of ids, and then runs of them, that are merged into one run.
+RUN = 16
+#: Folders of a merged run; a batch reads only those of its own ids.
+ID_BUCKETS = 64
+
 
 @dataclass(frozen=True)
 class StreamSink:
-    """Folders of one ingestion target."""
+    """Folders of one ingestion target; ``run`` is fixed once batches exist."""
 
     root: str
+    run: int = RUN
 
     @property
     def events(self) -> str:
         return f"{self.root}/product_events"
 
-    @property
-    def ids(self) -> str:
-        return f"{self.root}/event_ids"
-
-    @property
-    def compacted_ids(self) -> str:
-        return f"{self.root}/event_ids_compacted"
+    def id_run(self, start: int, size: int) -> str:
+        """Ids of ``size`` batches from ``start``."""
+        return f"{self.root}/event_ids/size={size}/start={start}"
 
     @property
     def rejected(self) -> str:
@@ -69,55 +76,91 @@ def dedup_batch(valid: DataFrame) -> DataFrame:
     return valid.withColumn("_delivery", F.row_number().over(arrival)).where("_delivery = 1").drop("_delivery")
 
 
-def _compacted_upto(spark: SparkSession, sink: StreamSink) -> int:
-    """Last batch covered by the newest complete compaction, or -1."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sink.compacted_ids}/upto=*/_SUCCESS")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = fs.globStatus(path) or []
-    return max((int(str(s.getPath().getParent().getName()).split("=")[1]) for s in done), default=-1)
+def id_runs(before: int, run: int = RUN) -> list[tuple[int, int]]:
+    """Runs (first batch, number of batches) that cover all batches below ``before``.
 
+    Sizes are powers of ``run``, so there are a few per digit of the batch
+    number, and the list follows from that number alone.
+    """
+    runs, start = [], 0
+    while start < before:
+        size = 1
+        while start % (size * run) == 0 and start + size * run <= before:
+            size *= run
+        runs.append((start, size))
+        start += size
+    return runs
 
-def known_ids(spark: SparkSession, sink: StreamSink, before: int) -> DataFrame | None:
-    """Ids persisted by batches earlier than ``before``, from the id-only tables.
 
-    Reads the newest compaction and the batches after it.
-    """
-    upto = _compacted_upto(spark, sink)
-    parts = []
-    if upto >= 0:
-        parts.append(spark.read.schema("event_id string").parquet(f"{sink.compacted_ids}/upto={upto}"))
-    if _exists(spark, f"{sink.ids}/batch_id=*"):
-        batches = spark.read.schema("event_id string, batch_id long").parquet(sink.ids)
-        parts.append(batches.where((F.col("batch_id") > upto) & (F.col("batch_id") < before)).select("event_id"))
-    if not parts:
-        return None
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def compact_ids(spark: SparkSession, sink: StreamSink, upto: int) -> None:
-    """Gather the ids of all batches up to ``upto`` (all of them finished).
-
-    Keeps the id table in a few well-filled files instead of some per batch.
-    The per-batch folders it covers may be removed afterwards; they are not
-    read any more.
-    """
-    covered = known_ids(spark, sink, before=upto + 1)
-    if covered is None or upto <= _compacted_upto(spark, sink):
-        return
-    target = f"{sink.compacted_ids}/upto={upto}"
-    covered.repartitionByRange("event_id").sortWithinPartitions("event_id").write.mode("overwrite").parquet(target)
+def id_bucket(event_id: Column) -> Column:
+    return F.pmod(F.xxhash64(event_id), F.lit(ID_BUCKETS)).cast("int")
+
 
+def _run_ids(spark: SparkSession, path: str, size: int, buckets: Iterable[int] | None = None) -> DataFrame:
+    if size == 1:
+        return spark.read.schema("event_id string").parquet(path)
+    ids = spark.read.schema("event_id string, bucket int").parquet(path)
+    if buckets is not None:
+        ids = ids.where(F.col("bucket").isin(list(buckets)))
+    return ids.select("event_id")
 
-def drop_persisted(valid: DataFrame, persisted: DataFrame | None, row_count: int | None = None) -> DataFrame:
+
+def known_ids(
+    spark: SparkSession, sink: StreamSink, before: int, buckets: Iterable[int] | None = None
+) -> DataFrame | None:
+    """Ids persisted by batches earlier than ``before``.
+
+    ``buckets`` limits what is read of merged runs to the folders of those
+    buckets.  Neither the number of runs nor their folders are listed.
+    """
+    found = None
+    for start, size in id_runs(before, sink.run):
+        path = sink.id_run(start, size)
+        if not _exists(spark, path):
+            continue
+        ids = _run_ids(spark, path, size, buckets)
+        found = ids if found is None else found.unionByName(ids)
+    return found
+
+
+def merge_ids(spark: SparkSession, sink: StreamSink, before: int) -> None:
+    """Merge the runs that end at ``before``, smallest first.
+
+    Called when batch ``before`` begins, so everything below it is committed
+    and no earlier batch can come back.  A merged run is complete or absent:
+    its parts are removed only after it has been written.
+    """
+    size = sink.run
+    while before and before % size == 0:
+        start, part = before - size, size // sink.run
+        target = sink.id_run(start, size)
+        if not _exists(spark, f"{target}/_SUCCESS"):
+            paths = [sink.id_run(start + i * part, part) for i in range(sink.run)]
+            paths = [p for p in paths if _exists(spark, p)]
+            if paths:
+                # one by one: folders of a bucket in several runs are no table
+                ids = reduce(DataFrame.union, [_run_ids(spark, p, part) for p in paths])
+                bucketed = ids.withColumn("bucket", id_bucket(F.col("event_id"))).hint("rebalance", "bucket")
+                bucketed.write.mode("overwrite").partitionBy("bucket").parquet(target)
+                for path in paths:
+                    _remove(spark, path)
+        size *= sink.run
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_persisted(valid: DataFrame, persisted: DataFrame | None) -> DataFrame:
     """Rows whose id has not been persisted yet, however long ago.
 
     The persisted ids are many and the batch is small, so the ids are first
-    reduced to those of the batch.  A counted, small batch is broadcast for
-    that: the id table is then scanned in one column and never shuffled.
+    reduced to those of the batch; adaptive execution knows its true size.
     """
     if persisted is None:
         return valid
-    wanted = broadcastable(valid.select("event_id").distinct(), row_count)
+    wanted = valid.select("event_id").distinct()
     seen = persisted.select("event_id").join(wanted, "event_id", "left_semi").distinct()
     return valid.join(seen, "event_id", "left_anti")
 
@@ -125,9 +168,15 @@ def drop_persisted(valid: DataFrame, persisted: DataFrame | None, row_count: int
 def dedup_with_state(valid_stream: DataFrame) -> DataFrame:
     """Same rule inside a streaming query, with ids in the state store.
 
-    The cost per batch follows the batch, not the history.  Use the RocksDB
-    state store provider.  Of copies inside one batch any may be kept.
+    The cost per batch follows the batch, not the history.  All ids are kept
+    for ever, so the default provider, which holds them in executor memory, is
+    refused on a cluster: set ``spark.sql.streaming.stateStore.providerClass``
+    to the RocksDB one.  Of copies inside one batch any may be kept.
     """
+    spark = valid_stream.sparkSession
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+    if "RocksDB" not in provider and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("stream dedup by state needs the RocksDB state store provider")
     return valid_stream.dropDuplicates(["event_id"])
 
 
@@ -153,17 +202,18 @@ def process_batch(messages: DataFrame, batch_id: int, references: References, si
     """Validate, deduplicate and persist one micro-batch."""
     spark = messages.sparkSession
     accounts, users = references(spark)
-    # both are read several times; a lost block is recomputed from the source
-    parsed = validate_contract(messages).persist()
-    row_count = parsed.count()
-    checked = validate_ownership(parsed, accounts, users, row_count).persist()
+    merge_ids(spark, sink, batch_id)
+    # read several times; a lost block is recomputed from the source
+    checked = validate_ownership(validate_contract(messages), accounts, users).persist()
     try:
         first = dedup_batch(checked.where("reason is null"))
-        fresh = event_row(drop_persisted(first, known_ids(spark, sink, batch_id), row_count))
+        # at most ID_BUCKETS numbers
+        buckets = [r[0] for r in first.select(id_bucket(F.col("event_id"))).distinct().collect()]
+        fresh = event_row(drop_persisted(first, known_ids(spark, sink, batch_id, buckets)))
         target = f"{sink.events}/batch_id={batch_id}"
         fresh.write.mode("overwrite").parquet(target)
-        written = spark.read.parquet(target)
-        written.select("event_id").write.mode("overwrite").parquet(f"{sink.ids}/batch_id={batch_id}")
+        written = spark.read.schema(fresh.schema).parquet(target)
+        written.select("event_id").write.mode("overwrite").parquet(sink.id_run(batch_id, 1))
         rejected_row(checked.where("reason is not null")).write.mode("overwrite").json(
             f"{sink.rejected}/batch_id={batch_id}"
         )
@@ -172,7 +222,6 @@ def process_batch(messages: DataFrame, batch_id: int, references: References, si
         )
     finally:
         checked.unpersist()
-        parsed.unpersist()
 
 
 def flush_policy(max_events: int = 25, seconds: float = 10.0) -> dict:
@@ -205,6 +254,19 @@ def ingest_stream(
     )
 
 
+def ingest_by_policy(
+    read: Callable[[int], DataFrame],
+    references: References,
+    sink: StreamSink,
+    max_events: int = 25,
+    seconds: float = 10.0,
+) -> StreamingQuery:
+    """Ingest with :func:`flush_policy`; ``read`` opens the stream with that many
+    messages per batch at most, as :func:`subsight.sources.events.read_events_kafka` does."""
+    policy = flush_policy(max_events, seconds)
+    return ingest_stream(read(policy["max_per_trigger"]), references, sink, policy["trigger"])
+
+
 def stream_counters(spark: SparkSession, sink: StreamSink) -> DataFrame:
     """Totals over all batches; zero before the first one."""
     if not _exists(spark, f"{sink.counters}/batch_id=*"):

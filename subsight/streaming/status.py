@@ -13,14 +13,23 @@ def stream_status(landing: DataFrame, now: Column, limit_seconds: int = 300) ->
 
     Files without rows, such as the zero-row seed, do not count.
     """
-    latest = F.max("event_timestamp")
-    age = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(latest)) / F.lit(1e6)
-    summary = landing.select("event_id", "event_timestamp", F.col("_metadata.file_path").alias("file")).agg(
-        F.count_distinct("file").alias("file_count"),
-        F.count("*").alias("total_rows"),
-        F.count_distinct("event_id").alias("events_received"),
-        latest.alias("latest_event_timestamp"),
-        F.when(latest.isNotNull(), F.greatest(age, F.lit(0.0))).alias("seconds_since_last_event"),
+    files = landing.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("rows"), F.max("event_timestamp").alias("latest")
+    )
+    # two narrow aggregates, one row each, instead of two distinct counts in one
+    by_file = files.agg(
+        F.count("*").alias("file_count"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
+        F.max("latest").alias("latest_event_timestamp"),
+    )
+    by_id = landing.select("event_id").where("event_id is not null").distinct().agg(F.count("*").alias("events_received"))
+    age = (F.unix_micros(now.cast("timestamp")) - F.unix_micros("latest_event_timestamp")) / F.lit(1e6)
+    joined = by_file.unionByName(by_id, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("file_count", "total_rows", "events_received", "latest_event_timestamp")]
+    )
+    summary = joined.withColumn(
+        "seconds_since_last_event",
+        F.when(F.col("latest_event_timestamp").isNotNull(), F.greatest(age, F.lit(0.0))),
     )
     seconds = F.col("seconds_since_last_event")
     return summary.select(

@@ -156,18 +156,70 @@ def test_ingest_restart_and_replay(spark, references, tmp_path):
     assert merged.count() == 3
 
 
-def test_compaction_keeps_dedup_exact(spark, references, tmp_path):
+def test_runs_cover_every_batch_once():
+    for before in (0, 1, 15, 16, 17, 31, 32, 255, 256, 257, 4096 + 300):
+        covered = [b for start, size in ing.id_runs(before) for b in range(start, start + size)]
+        assert covered == list(range(before))
+        assert len(ing.id_runs(before)) <= 45
+
+
+@pytest.mark.parametrize("replayed", [3, 4, 5])
+def test_merged_ids_survive_replays(spark, references, tmp_path, replayed):
+    """A batch that comes back before, at and after a merge leaves what it left."""
+    sink = ing.StreamSink(f"{tmp_path}/out", run=2)
+    for i in range(replayed + 1):
+        again = {**GOOD, "event_id": f"E{max(0, i - 2)}"}
+        ing.process_batch(messages(spark, {**GOOD, "event_id": f"E{i}"}, again), i, lambda _: references, sink)
+    last = messages(spark, {**GOOD, "event_id": f"E{replayed}"}, {**GOOD, "event_id": f"E{max(0, replayed - 2)}"})
+    before = rows(read_stream_files(spark, sink.events), "event_id")
+    counters = one(ing.stream_counters(spark, sink))
+    ing.process_batch(last, replayed, lambda _: references, sink)
+    assert rows(read_stream_files(spark, sink.events), "event_id") == before
+    assert len(before) == replayed + 1 == counters["persisted"]
+    assert one(ing.stream_counters(spark, sink)) == counters
+
+
+def test_batch_reads_only_its_buckets(spark, references, tmp_path):
+    sink = ing.StreamSink(f"{tmp_path}/out", run=2)
+    for i in range(2):
+        many = [{**GOOD, "event_id": f"{i}-{j}"} for j in range(300)]
+        ing.process_batch(messages(spark, *many), i, lambda _: references, sink)
+    ing.merge_ids(spark, sink, 2)
+    assert ing.id_runs(2, 2) == [(0, 2)] and not (tmp_path / "out/event_ids/size=1/start=0").exists()
+    wanted = spark.range(1).select(ing.id_bucket(F.lit("1-7"))).first()[0]
+    every, some = ing.known_ids(spark, sink, 2), ing.known_ids(spark, sink, 2, [wanted])
+    assert every.count() == 600 and some.count() < 40
+    assert some.where("event_id = '1-7'").count() == 1
+    assert "PartitionFilters: [isnotnull(bucket" in some._jdf.queryExecution().toString()
+
+
+def test_users_under_several_accounts_do_not_multiply(spark, build):
+    accounts = build.accounts(dict(account_id="A1"), dict(account_id="A2"), dict(account_id="A3"))
+    users = build.users(*[dict(user_id="U1", account_id=a) for a in ("A1", "A2", "A2")])
+    bodies = [GOOD, {**GOOD, "account_id": "A2"}, {**GOOD, "account_id": "A3"}]
+    checked = ct.validate_ownership(ct.validate_contract(messages(spark, *bodies)), accounts, users)
+    assert [r["reason"] for r in checked.orderBy("offset").collect()] == [None, None, "user_id does not belong to account_id"]
+
+
+def test_malformed_storm_is_not_joined(spark, references):
+    storm = messages(spark, *[b"broken"] * 200, GOOD)
+    checked = ct.validate_ownership(ct.validate_contract(storm), *references)
+    assert checked.count() == 201 and checked.where("reason is null").count() == 1
+
+
+def test_ingest_by_policy(spark, references, tmp_path):
     folder, sink = f"{tmp_path}/in", ing.StreamSink(f"{tmp_path}/out")
-    for i in range(3):
-        send(spark, folder, i, {**GOOD, "event_id": f"E{i}"})
-    run(spark, folder, references, sink)
-    ing.compact_ids(spark, sink, upto=1)
-    assert ing.known_ids(spark, sink, before=10).count() == 3
-    send(spark, folder, 20, {**GOOD, "event_id": "E0"}, {**GOOD, "event_id": "E2"}, {**GOOD, "event_id": "E9"})
-    run(spark, folder, references, sink)
-    ing.compact_ids(spark, sink, upto=3)
-    assert rows(ing.known_ids(spark, sink, before=10), "event_id") == [("E0",), ("E1",), ("E2",), ("E9",)]
-    assert read_stream_files(spark, sink.events).count() == 4
+    send(spark, folder, 0, GOOD)
+    asked = []
+
+    def read(limit):
+        asked.append(limit)
+        return spark.readStream.schema(MESSAGE).parquet(folder)
+
+    running = ing.ingest_by_policy(read, lambda _: references, sink, max_events=7, seconds=1)
+    running.processAllAvailable()
+    running.stop()
+    assert asked == [7] and read_stream_files(spark, sink.events).count() == 1
 
 
 def test_state_store_dedup(spark, tmp_path):
