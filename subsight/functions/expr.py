@@ -70,8 +70,24 @@ def percent_text(value: Column) -> Column:
     return F.concat(F.bround(value * 100, 0).cast("bigint").cast("string"), F.lit("%"))
 
 
+def one_decimal_text(value: Column) -> Column:
+    """One decimal of a double, rounded by its exact binary value, ties to even.
+
+    Twenty times the value is compared with the odd number between two
+    results.  Its product is formed from two halves of the mantissa, so that
+    nothing is lost and the sign of the difference is exact.
+    """
+    size = F.abs(value.cast("double"))
+    low = F.floor(size * 10).cast("bigint")
+    head = size.cast("float").cast("double")
+    over = (head * 20 - (low * 2 + 1)) + (size - head) * 20
+    tenths = low + F.when((over > 0) | ((over == 0) & (low % 2 == 1)), 1).otherwise(0)
+    sign = F.when(value < 0, "-").otherwise("")
+    return F.concat(sign, F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def one_decimal_percent_text(value: Column) -> Column:
-    return F.concat(F.format_string("%.1f", value * 100), F.lit("%"))
+    return F.concat(one_decimal_text(value * 100), F.lit("%"))
 
 
 def plural(count: Column, singular: str) -> Column:
@@ -98,7 +114,7 @@ def freshness_text(seconds: Column) -> Column:
         .when(seconds < 60, fill(schemas.FRESHNESS_SECONDS, n=F.floor(seconds).cast("bigint")))
         .when(seconds < 120, fill(schemas.FRESHNESS_MINUTE, n=minutes))
         .when(seconds < 3600, fill(schemas.FRESHNESS_MINUTES, n=minutes))
-        .otherwise(fill(schemas.FRESHNESS_HOURS, n=F.format_string("%.1f", seconds / 3600)))
+        .otherwise(fill(schemas.FRESHNESS_HOURS, n=one_decimal_text(seconds / 3600)))
     )
 
 
