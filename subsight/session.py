@@ -23,9 +23,15 @@ _ADAPTIVE = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the required runtime settings to an existing session."""
-    for key, value in {**_REQUIRED, **_ADAPTIVE}.items():
+    """Apply the required runtime settings to an existing session.
+
+    The performance defaults only where the session has none of its own.
+    """
+    for key, value in _REQUIRED.items():
         spark.conf.set(key, value)
+    for key, value in _ADAPTIVE.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -48,11 +54,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a temporary one used.
+    Only a local session that names none gets a temporary one: on a cluster
+    every executor would write to its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        if not configured and not local:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = configured or tempfile.mkdtemp(prefix="subsight-checkpoint-")
         spark.sparkContext.setCheckpointDir(current)
     return configured or current
