@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from subsight.session import stable
+
 #: Headers that a not-modified response does not update, being
 #: about the connection or about the body that was left out.
 NOT_UPDATED = (
@@ -113,13 +115,15 @@ def resolve_revisits(records: DataFrame, period_seconds: int = PERIOD_SECONDS) -
         "stored",
         F.when(F.col("full"), F.struct(F.col("record_id").alias("id"), F.col("entries").alias("entries"), F.col("payload").alias("payload"))),
     ).drop("kind", "status")
+    # read four times below; the parsing of addresses and headers is the costly part
+    rows = stable(rows)
     placed = F.col("url_key").isNotNull() & F.col("at").isNotNull()
     usable = rows.where(placed).withColumn("period", F.floor(F.col("at") / period_seconds))
 
     # responses last within one (time, id), so that a revisit does not find a later one
     inside = Window.partitionBy("url_key", "period").orderBy("at", F.col("record_id").asc_nulls_first(), "full")
     near = F.last("stored", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    revisits = usable.withColumn("near", near).where(~F.col("full")).drop("stored")
+    revisits = stable(usable.withColumn("near", near).where(~F.col("full")).drop("stored"))
 
     latest = usable.where("full").groupBy("url_key", "period").agg(
         F.max_by("stored", F.struct("at", "record_id")).alias("stored")
