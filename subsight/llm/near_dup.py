@@ -147,7 +147,8 @@ def near_duplicates(
     """
     sketch = stable(sketches(docs, id_column, text, rule))
     full = sketch.where("n_shingles > 0")
-    classes = full.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"))
+    # stored, so that the join below deals anew and can split a class of many copies
+    classes = stable(full.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node")))
     placed = stable(
         full.select("doc_id", "n_shingles", "key_a", "key_b").join(classes, ["key_a", "key_b"]).drop("key_a", "key_b")
     )
