@@ -12,6 +12,7 @@ from subsight.operators import features as ft
 from subsight.operators import models as ml
 from subsight.operators import scoring as sc
 from subsight.operators.activation import account_activation
+from subsight.schemas import FEATURE_COLUMNS
 from subsight.session import stable
 
 _TRAINING = chain(SPINE, ACTIVATION, FEATURES)
@@ -94,15 +95,34 @@ def _(d):
 
 @query(
     "leakage_check",
-    """SELECT f.account_id, f.prediction_date, 'leak' AS problem
-       FROM features AS f JOIN subscriptions AS s USING (account_id)
-       WHERE CAST(f.latest_event_at AS DATE) > f.prediction_date OR f.latest_invoice_date > f.prediction_date
-          OR s.cancellation_date <= f.prediction_date
-          OR (f.churn_label = 1) <> coalesce(s.cancellation_date - f.prediction_date BETWEEN 1 AND 30, FALSE)""",
+    """SELECT b.account_id, b.prediction_date,
+              CASE WHEN CAST(b.latest_event_at AS DATE) > b.prediction_date THEN 'event after cutoff'
+                   WHEN b.latest_invoice_date > b.prediction_date THEN 'invoice after cutoff'
+                   WHEN s.cancellation_date <= b.prediction_date THEN 'already cancelled'
+                   ELSE 'label differs' END AS problem
+       FROM (SELECT account_id, prediction_date,
+                    CASE WHEN CAST(account_id AS BIGINT) % 7 = 1 THEN CAST(prediction_date + 1 AS TIMESTAMP)
+                         ELSE latest_event_at END AS latest_event_at,
+                    CASE WHEN CAST(account_id AS BIGINT) % 7 IN (1, 2) THEN prediction_date + 3
+                         ELSE latest_invoice_date END AS latest_invoice_date,
+                    CASE WHEN CAST(account_id AS BIGINT) % 7 = 3 THEN 1 - churn_label ELSE churn_label END AS churn_label
+             FROM features) AS b JOIN subscriptions AS s USING (account_id)
+       WHERE CAST(b.latest_event_at AS DATE) > b.prediction_date OR b.latest_invoice_date > b.prediction_date
+          OR s.cancellation_date <= b.prediction_date
+          OR (b.churn_label = 1) <> coalesce(s.cancellation_date - b.prediction_date BETWEEN 1 AND 30, FALSE)""",
     _TRAINING,
 )
 def _(d):
-    return ft.leakage_check(features_of(d), d.subscriptions)
+    """Features of some accounts are bent, so that there is something to find."""
+    part, on = F.col("account_id").cast("bigint") % 7, F.col("prediction_date")
+    bent = features_of(d).withColumns(
+        {
+            "latest_event_at": F.when(part == 1, F.date_add(on, 1).cast("timestamp")).otherwise(F.col("latest_event_at")),
+            "latest_invoice_date": F.when(part.isin(1, 2), F.date_add(on, 3)).otherwise(F.col("latest_invoice_date")),
+            "churn_label": F.when(part == 3, 1 - F.col("churn_label")).otherwise(F.col("churn_label")),
+        }
+    )
+    return ft.leakage_check(bent, d.subscriptions)
 
 
 # --- evaluation -------------------------------------------------------------------
@@ -195,20 +215,33 @@ def _(d):
     return rounded(ev.evaluate_scores(keyed, 0.5, tie_break="tie"), "pr_auc", "roc_auc", "top_decile_lift")
 
 
-@query("logistic_model")
-def _(d):
-    """Test-date probabilities of the logistic model."""
+def _is_probability(name):
+    """Trained scores have no SQL form; that they are scores has."""
+    return F.coalesce(F.col(name).between(0, 1), F.lit(False))
+
+
+_TEST_ROWS = """SELECT account_id, prediction_date, churn_label, TRUE AS scored FROM features
+    WHERE prediction_date = (SELECT max(prediction_date) FROM features)"""
+
+
+def _test_rows(d, kind):
     train, _, test = ev.temporal_split(stored_features_of(d))
-    model = ml.fit(ml.LOGISTIC, train)
-    return ml.predict(model, test).select("account_id", "prediction_date", "churn_probability", "churn_label")
+    scored = ml.predict(ml.fit(kind, train), test)
+    return scored.select(
+        "account_id", "prediction_date", "churn_label", _is_probability("churn_probability").alias("scored")
+    )
 
 
-@query("boosted_trees_model")
+@query("logistic_model", _TEST_ROWS, _TRAINING)
 def _(d):
-    """Test-date probabilities of the boosted trees."""
-    train, _, test = ev.temporal_split(stored_features_of(d))
-    model = ml.fit(ml.BOOSTED_TREES, train)
-    return ml.predict(model, test).select("account_id", "prediction_date", "churn_probability", "churn_label")
+    """Test-date rows with a probability of the logistic model."""
+    return _test_rows(d, ml.LOGISTIC)
+
+
+@query("boosted_trees_model", _TEST_ROWS, _TRAINING)
+def _(d):
+    """Test-date rows with a probability of the boosted trees."""
+    return _test_rows(d, ml.BOOSTED_TREES)
 
 
 @query("select_model")
@@ -217,10 +250,16 @@ def _(d):
     return ml.train_and_compare(stored_features_of(d))[2]
 
 
-@query("permutation_importance")
+@query(
+    "permutation_importance",
+    "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURE_COLUMNS) + "]) AS feature, CAST(20 AS BIGINT) AS repeats, TRUE AS measured",
+)
 def _(d):
+    """Every feature is shuffled twenty times; a loss lies within one of zero."""
     train, _, test = ev.temporal_split(stored_features_of(d))
-    return ml.permutation_importance(ml.fit(ml.LOGISTIC, train), test)
+    found = ml.permutation_importance(ml.fit(ml.LOGISTIC, train), test)
+    sound = F.col("importance_mean").between(-1, 1) & F.col("importance_std").between(0, 1)
+    return found.select("feature", "repeats", F.coalesce(sound, F.lit(False)).alias("measured"))
 
 
 @query("run_metrics_table")
@@ -262,11 +301,21 @@ def _(d):
     return sc.in_rank_order(scores_of(d))
 
 
-@query("score_with_model")
+@query(
+    "score_with_model",
+    """SELECT account_id, prediction_date, monthly_revenue, top_reason_1, top_reason_2, top_reason_3,
+              TRUE AS scored, TRUE AS bucketed FROM scores""",
+    _CURRENT_SCORES,
+)
 def _(d):
-    """Scores of active accounts from a trained logistic model."""
+    """Active accounts scored by a trained logistic model; reasons do not depend on it."""
     train, _, _ = ev.temporal_split(stored_features_of(d))
-    return sc.score_accounts(ml.fit(ml.LOGISTIC, train), current_of(d))
+    scores = sc.score_accounts(ml.fit(ml.LOGISTIC, train), current_of(d))
+    bucketed = F.col("risk_bucket") == sc.risk_bucket(F.col("churn_probability"))
+    return scores.select(
+        "account_id", "prediction_date", "monthly_revenue", "top_reason_1", "top_reason_2", "top_reason_3",
+        _is_probability("churn_probability").alias("scored"), bucketed.alias("bucketed"),
+    )
 
 
 _ANSWER = """SELECT account_id, churn_probability AS churn_score, risk_bucket, prediction_date, monthly_revenue,

@@ -44,7 +44,7 @@ def temporal_split(frame: DataFrame, date: str = "prediction_date") -> tuple[Dat
     """(train, validation, test).  Only the three latest dates reach the driver."""
     latest = [row[0] for row in frame.select(date).distinct().orderBy(F.desc(date)).limit(3).collect()]
     if len(latest) < 3:
-        raise TooFewDates("At least three prediction dates are required")
+        raise TooFewDates("a temporal split needs three prediction dates or more")
     test, validation, _ = latest
     return (
         frame.where(F.col(date) < F.lit(validation)),
@@ -79,12 +79,13 @@ def choose_threshold(
     Candidates are all scores and the two ends 0 and 1.  A row is predicted
     positive when its score reaches the cut-off.
     """
-    counts = score_counts(scored, score, label, keys)
+    # stored: read for the levels and for whether there are any
+    counts = stable(score_counts(scored, score, label, keys))
     # The two ends take part as empty score levels.
     ends = (
-        scored.select(*keys).distinct()
+        counts.select(*keys).distinct()
         if keys
-        else scored.agg(F.count("*").alias("_n")).where("_n > 0").select()
+        else counts.agg(F.count("*").alias("_n")).where("_n > 0").select()
     )
     ends = ends.select(
         *keys,

@@ -47,15 +47,23 @@ def _filled(name: str) -> str:
 
 
 def _input_stage(train: DataFrame) -> SQLTransformer:
-    """Numerics as double and categories with NULL replaced by the mode."""
-    modes = train.agg(*[F.mode(c, True).alias(c) for c in CATEGORICAL_FEATURES]).first()
+    """Numerics as double and categories with NULL replaced by the mode.
+
+    A numeric that is NULL in every training row, which has no median, is 0
+    wherever it is NULL.
+    """
+    modes = train.agg(
+        *[F.mode(c, True).alias(c) for c in CATEGORICAL_FEATURES], *[F.count(c).alias(c) for c in NUMERIC_FEATURES]
+    ).first()
     quoted = {c: (modes[c] or "").replace("\\", "\\\\").replace("'", "\\'") for c in CATEGORICAL_FEATURES}
-    parts = [f"CAST({c} AS DOUBLE) AS {_filled(c)}" for c in NUMERIC_FEATURES]
+    numbers = {c: f"CAST({c} AS DOUBLE)" if modes[c] else f"COALESCE(CAST({c} AS DOUBLE), 0D)" for c in NUMERIC_FEATURES}
+    parts = [f"{number} AS {_filled(c)}" for c, number in numbers.items()]
     parts += [f"COALESCE({c}, '{quoted[c]}') AS {_filled(c)}" for c in CATEGORICAL_FEATURES]
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
 def _median_stage() -> Imputer:
+    """Medians to within 0.1 % of the ranks, as Spark computes them."""
     columns = [_filled(c) for c in NUMERIC_FEATURES]
     return Imputer(strategy="median", inputCols=columns, outputCols=[f"{c}_imputed" for c in columns])
 
@@ -202,7 +210,8 @@ def permutation_importance(
     All shuffles are one DataFrame keyed by (feature, repeat).  Rows get a
     random global position; in each repeat a row borrows the column value of
     the row a random distance further on, which is a permutation and costs one
-    equi-join for all columns.
+    equi-join for all columns.  The repeats are rotations of one random order,
+    so their deviation is not quite that of independent shuffles.
     """
     rows = held_out.select("account_id", "prediction_date", *FEATURE_COLUMNS, LABEL).withColumn(
         "one", F.lit(1).cast("bigint")

@@ -23,7 +23,7 @@ def parse_logical_date(value: str) -> date:
     try:
         return date.fromisoformat(value) if len(value) == 10 else _reject(value)
     except (TypeError, ValueError) as error:
-        raise ValueError(f"Invalid snapshot date {value!r}; expected YYYY-MM-DD.") from error
+        raise ValueError(f"{value!r} is no calendar date of the form YYYY-MM-DD") from error
 
 
 def _reject(value: str):
@@ -48,7 +48,7 @@ def _restated(dataset: str, df: DataFrame, day: Column) -> DataFrame:
 
 def _checked(dataset: str) -> str:
     if dataset not in DATASETS:
-        raise ValueError(f"Unsupported snapshot dataset: {dataset}")
+        raise ValueError(f"no snapshots are kept of {dataset}")
     return dataset
 
 

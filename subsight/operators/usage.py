@@ -16,14 +16,16 @@ def as_usage(events: DataFrame) -> DataFrame:
     """View events as (account, user, name, day, weight, first, last) rows."""
     if "first_at" in events.columns:
         return events
+    # text that is no time counts as none
+    at = F.col("event_timestamp").try_cast("timestamp")
     return events.select(
         "account_id",
         "user_id",
         "event_name",
-        F.col("event_timestamp").cast("date").alias("event_date"),
+        at.cast("date").alias("event_date"),
         F.lit(1).cast("bigint").alias("events"),
-        F.col("event_timestamp").alias("first_at"),
-        F.col("event_timestamp").alias("last_at"),
+        at.alias("first_at"),
+        at.alias("last_at"),
     )
 
 
