@@ -128,6 +128,10 @@ def company_size_bucket(size: Column) -> Column:
     return bucket
 
 
+#: The breakdowns of :func:`retention_segments`.
+SEGMENT_TYPES = ("plan", "engagement_level", "company_size", "acquisition_channel")
+
+
 def retention_segments(dim_account: DataFrame) -> DataFrame:
     """Retained and churned paid accounts by plan, engagement, size and channel.
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from subsight import schemas
 from subsight.operators import quality as q
-from subsight.operators.features import current_scoring_features
+from subsight.operators.features import current_scoring_features, leakage_check
+from subsight.operators.retention import SEGMENT_TYPES
 from subsight.operators.scoring import score_frame
 from subsight.operators.snapshots import DATASETS, parse_logical_date
 from subsight.plans.marts import Staged, build_marts, materialise_events, stored_in
@@ -32,6 +33,43 @@ _ENUMS = {
 }
 _OPTIONAL = ("subscription_start_date", "cancellation_date")
 
+_MART_ENUMS = {
+    ("dim_account", "plan"): schemas.PLANS,
+    ("dim_account", "subscription_status"): schemas.SUBSCRIPTION_STATUSES,
+    ("fact_subscriptions", "subscription_status"): schemas.SUBSCRIPTION_STATUSES,
+    ("mart_feature_adoption", "feature_name"): schemas.ADOPTION_FEATURES,
+    ("mart_retention_segments", "segment_type"): SEGMENT_TYPES,
+    ("mart_retention_behavior", "retention_status"): ("retained", "churned"),
+    ("mart_churn_features", "churn_label"): (0, 1),
+}
+_MART_REQUIRED = {
+    "dim_account": ("account_id",),
+    "fact_product_events": ("event_id",),
+    "fact_subscriptions": ("subscription_id",),
+    "int_account_monthly_revenue": ("account_id", "month", "monthly_revenue"),
+    "mart_activation": ("account_id", "is_activated"),
+    "mart_account_activity": ("account_id", "seat_utilization", "events_last_7d", "events_last_30d"),
+    "mart_feature_adoption": ("feature_name", "adoption_rate"),
+    "mart_logo_churn": ("month",),
+    "mart_revenue_churn": ("month",),
+    "mart_revenue_retention": ("month",),
+    "mart_retention_behavior": ("retention_status",),
+    "mart_retention_segments": ("segment_type",),
+    "mart_churn_features": ("account_id", "churn_label"),
+}
+
+
+def mart_rules(marts: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Required columns and enums of the marts, one scan per mart."""
+    counted = []
+    for name, required in _MART_REQUIRED.items():
+        rules = {f"not_null_{name}_{c}": F.col(c).isNull() for c in required}
+        for (mart, column), values in _MART_ENUMS.items():
+            if mart == name:
+                rules[f"accepted_{name}_{column}"] = ~F.col(column).isin(*values)
+        counted.append(q.count_rules(marts[name], rules))
+    return counted
+
 
 def staging_rules(staged: Staged) -> list[DataFrame]:
     """Required columns and enums of the source tables, one scan per table."""
@@ -46,15 +84,21 @@ def staging_rules(staged: Staged) -> list[DataFrame]:
     return counted
 
 
-def staging_checks(staged: Staged) -> dict[str, DataFrame]:
-    """Keys and relationships of the source tables."""
+def staging_checks(staged: Staged, usage: DataFrame) -> dict[str, DataFrame]:
+    """Keys and relationships of the source tables.
+
+    Events are related to accounts and users by their daily roll-up; their
+    key is the one they have just been deduplicated by.
+    """
+    pairs = usage.select("account_id", "user_id").distinct()
     checks: dict[str, DataFrame] = {}
     for name, key in schemas.PRIMARY_KEYS.items():
-        df = getattr(staged, name)
-        checks[f"unique_{name}_{key}"] = q.unique(df.select(key), key)
+        df = pairs if name == "events" else getattr(staged, name)
+        if name != "events":
+            checks[f"unique_{name}_{key}"] = q.unique(df.select(key), key)
         if name != "accounts":
             checks[f"relationship_{name}_account"] = q.relationships(df.select("account_id"), staged.accounts, "account_id")
-    checks["relationship_events_user"] = q.relationships(staged.events.select("user_id"), staged.users, "user_id")
+    checks["relationship_events_user"] = q.relationships(pairs.select("user_id"), staged.users, "user_id")
     checks["relationship_invoices_subscription"] = q.relationships(
         staged.invoices.select("subscription_id"), staged.subscriptions, "subscription_id"
     )
@@ -76,7 +120,10 @@ def mart_checks(marts: Mapping[str, DataFrame], accounts: DataFrame, subscriptio
         "mart_retention_behavior": "retention_status",
     }
     checks = {f"unique_{mart}": q.unique(marts[mart], key) for mart, key in single_keys.items()}
-    checks |= {f"not_null_{mart}": q.not_null(marts[mart], key) for mart, key in single_keys.items()}
+    checks["unique_int_account_monthly_revenue"] = q.unique(
+        marts["int_account_monthly_revenue"], "account_id", "month", "subscription_status"
+    )
+    checks["features_without_leakage"] = leakage_check(marts["mart_churn_features"], subscriptions)
     for mart in ("mart_activation", "mart_account_activity", "mart_churn_features"):
         checks[f"relationship_{mart}"] = q.relationships(marts[mart], accounts, "account_id")
     checks["activity_bounds"] = q.activity_bounds(marts["mart_account_activity"])
@@ -111,8 +158,8 @@ def run_daily(
     stored, usage = materialise_events(staged, f"{root}/marts")
     marts = build_marts(stored, usage, stored_in(spark, f"{root}/marts"))
 
-    checks = staging_checks(stored) | mart_checks(marts, stored.accounts, stored.subscriptions)
-    report = q.quality_report(checks | dict(extra_checks or {}), staging_rules(stored))
+    checks = staging_checks(stored, usage) | mart_checks(marts, stored.accounts, stored.subscriptions)
+    report = q.quality_report(checks | dict(extra_checks or {}), [*staging_rules(stored), *mart_rules(marts)])
     report.write.mode("overwrite").parquet(f"{root}/quality/date={logical.isoformat()}")
     report = spark.read.parquet(f"{root}/quality/date={logical.isoformat()}")
     q.require_quality(report)
