@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query, rounded
 from catalog.sql import ACTIVATION, CURRENT_SPINE, FEATURES, SCORED, SPINE, chain, reasons
+from catalog.stream import new_folder
 from catalog.usage import dim_of
 from subsight.operators import evaluation as ev
 from subsight.operators import features as ft
 from subsight.operators import models as ml
 from subsight.operators import scoring as sc
 from subsight.operators.activation import account_activation
+from subsight.plans.training import stored_scorer, train_and_store
 from subsight.schemas import FEATURE_COLUMNS
 from subsight.session import stable
 
@@ -250,6 +252,32 @@ def _(d):
     return ml.train_and_compare(stored_features_of(d))[2]
 
 
+@query(
+    "training_artifacts",
+    """SELECT 'periods' AS artifact, CASE WHEN place = 1 THEN 'test' WHEN place = 2 THEN 'validation' ELSE 'train' END
+              AS name, count(*) AS size
+       FROM (SELECT prediction_date, dense_rank() OVER (ORDER BY prediction_date DESC) AS place FROM spine) AS placed
+       GROUP BY ALL
+       UNION ALL SELECT 'importance', unnest(["""
+    + ", ".join(f"'{c}'" for c in FEATURE_COLUMNS)
+    + """]), 2
+       UNION ALL SELECT 'scores', 'test', count(*) FROM spine
+       WHERE prediction_date = (SELECT max(prediction_date) FROM spine)""",
+    SPINE,
+)
+def _(d):
+    """A stored training run read back, and test rows scored by its saved model."""
+    folder, features = new_folder(d.spark, "training"), stored_features_of(d)
+    train_and_store(features, folder, "run-1", tree_iterations=2, repeats=2)
+    scored = stored_scorer(d.spark, folder, "run-1")(ev.temporal_split(features)[2])
+    parts = [
+        d.spark.read.parquet(f"{folder}/periods/run-1").select(F.lit("periods"), "split", "row_count"),
+        d.spark.read.parquet(f"{folder}/importance/run-1").select(F.lit("importance"), "feature", "repeats"),
+        scored.where(_is_probability("churn_probability")).agg(F.count("*").alias("n")).select(F.lit("scores"), F.lit("test"), "n"),
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).toDF("artifact", "name", "size")
+
+
 @query(
     "permutation_importance",
     "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURE_COLUMNS) + "]) AS feature, CAST(20 AS BIGINT) AS repeats, TRUE AS measured",

@@ -298,3 +298,20 @@ def test_balanced_weights(spark):
     assert rows(ml.with_balanced_weights(frame).distinct()) == [(0, 4 / 6), (1, 2.0)]
     with pytest.raises(ValueError):
         ml.with_balanced_weights(frame.where("churn_label = 0"))
+
+
+def test_training_run_is_stored_and_scores_later(spark, learnable, tmp_path):
+    from subsight.plans.training import stored_scorer, train_and_store
+
+    nothing = F.lit(None).cast("double")
+    features = learnable.withColumn("days_since_last_report", nothing)  # NULL in every row
+    chosen = train_and_store(features, str(tmp_path), "r1", tree_iterations=2, repeats=2)
+    importance = spark.read.parquet(f"{tmp_path}/importance/r1")
+    assert {r["feature"] for r in importance.collect()} == set(schemas.FEATURE_COLUMNS)
+    assert {r["model"] for r in importance.collect()} == {chosen}
+    periods = {r["split"]: r["row_count"] for r in spark.read.parquet(f"{tmp_path}/periods/r1").collect()}
+    assert set(periods) == {"train", "validation", "test"} and sum(periods.values()) == features.count()
+    metrics = spark.read.parquet(f"{tmp_path}/metrics")
+    assert metrics.select("run_id", "model", "split").distinct().count() == 4
+    scored = stored_scorer(spark, str(tmp_path), "r1")(features)
+    assert scored.where("churn_probability between 0 and 1").count() == features.count()
