@@ -7,6 +7,7 @@ is never cut.  NULL counts as empty text.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -48,15 +49,18 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
+#: Bytes hashed together, and the longest word that is hashed with others.
+_RUN_BYTES = 1 << 20
+
+
 @lru_cache(maxsize=1)
-def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+def _power_tables() -> tuple[np.ndarray, np.ndarray]:
     def table(base):
-        out = np.empty(size, np.uint64)
-        out[0] = 1
-        filled = 1
+        out = np.empty(_RUN_BYTES + 1, np.uint64)
+        out[0] = filled = 1
         with np.errstate(over="ignore"):
-            while filled < size:
-                step = min(filled, size - filled)
+            while filled < len(out):
+                step = min(filled, len(out) - filled)
                 out[filled : filled + step] = out[:step] * (out[filled - 1] * base)
                 filled += step
         return out
@@ -64,12 +68,6 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return table(_BASE), table(_INVERSE)
 
 
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    rounded = 1 << max(16, int(size).bit_length())
-    forward, backward = _power_tables(rounded)
-    return forward[:size], backward[:size]
-
-
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch that hold about ``limit`` bytes of text each."""
     if batch.num_rows == 0:
@@ -121,12 +119,32 @@ def words(column: pa.Array, hashed: bool = True) -> Words:
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, independent of where it stands."""
-    with np.errstate(over="ignore"):
-        forward, backward = _powers(len(data) + 1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUE[data] * forward[:-1], out=total[1:])
-        return mix((total[end] - total[start]) * backward[start] + (end - start).astype(np.uint64))
+    """64-bit hash of each byte span, independent of where it stands.
+
+    Spans are in order and do not overlap.  They are hashed in runs, so that
+    the tables do not grow with the text.
+    """
+    out = np.empty(len(start), np.uint64)
+    forward, backward = _power_tables()
+    at = 0
+    while at < len(start):
+        base = int(start[at])
+        upto = int(np.searchsorted(end, base + _RUN_BYTES, side="right"))
+        if upto <= at:
+            # a word longer than a run
+            word = hashlib.blake2b(data[base : int(end[at])].tobytes(), digest_size=8).digest()
+            out[at] = int.from_bytes(word, "little")
+            at += 1
+            continue
+        own = slice(at, upto)
+        size = int(end[upto - 1]) - base
+        with np.errstate(over="ignore"):
+            total = np.zeros(size + 1, np.uint64)
+            np.cumsum(_BYTE_VALUE[data[base : base + size]] * forward[:size], out=total[1:])
+            first, last = start[own] - base, end[own] - base
+            out[own] = mix((total[last] - total[first]) * backward[first] + (last - first).astype(np.uint64))
+        at = upto
+    return out
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
