@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -9,6 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from subsight import schemas  # noqa: E402
 from subsight.session import local_session  # noqa: E402
+from tables import day, moment  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,14 +16,6 @@ def spark():
     return local_session("4", shuffle_partitions=4, memory="4g")
 
 
-def day(text):
-    return date.fromisoformat(text)
-
-
-def moment(text):
-    return datetime.fromisoformat(text)
-
-
 class Build:
     """Small tables with defaults for the columns a test does not care about."""
 
@@ -95,15 +87,3 @@ class Build:
 @pytest.fixture(scope="session")
 def build(spark):
     return Build(spark)
-
-
-def rows(df, *columns):
-    """Sorted tuples of the chosen columns."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
-
-
-def one(df):
-    found = df.collect()
-    assert len(found) == 1
-    return found[0].asDict()

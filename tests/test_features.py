@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import day, moment, one, rows
+from tables import day, moment, one, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import day, rows
+from tables import day, rows
 
 from pyspark.sql import functions as F
 

@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from conftest import day, one, rows
+from tables import day, one, rows
 
 from subsight.operators import billing as bl
 from subsight.operators import cohorts as co

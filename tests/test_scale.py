@@ -1,7 +1,7 @@
 """Skewed inputs give exact results, and plans keep the shapes that scale."""
 
 import pytest
-from conftest import day, one, rows
+from tables import day, one, rows
 
 from pyspark.sql import functions as F
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import day, one
+from tables import day, one
 
 from pyspark.sql import functions as F
 

@@ -1,4 +1,4 @@
-from conftest import day, moment, one, rows
+from tables import day, moment, one, rows
 
 from pyspark.sql import functions as F
 
