@@ -14,7 +14,3 @@ def documents(spark):
         return spark.createDataFrame(data, schema).repartition(2)
 
     return make
-
-
-def by_id(df, key="doc_id"):
-    return {r[key]: r for r in df.collect()}

@@ -3,7 +3,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import by_id
+from llm_rows import by_id
 
 from subsight.llm.bpe import Encoder, RankBitmap, Vocabulary, decode_documents, encode_documents
 from subsight.llm.queries import tokenizer

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import by_id
+from llm_rows import by_id
 
 from subsight.llm.decontaminate import LeakRule, best_stretch, drop_leaks, find_leaks
 from subsight.llm.edit_embedding import edit_distance

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import by_id
+from llm_rows import by_id
 
 from subsight.llm.edit_embedding import (
     EditRule, Embedder, edit_distance, edited_fingerprints, fingerprint_documents, from_hex, likeness, near_pairs, to_hex,

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import by_id
+from llm_rows import by_id
 
 from subsight.llm.language import CrfRule, document_languages, fit, fit_on, keep_identified, label_documents, posteriors
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import by_id
+from llm_rows import by_id
 
 from subsight.llm.graph import components
 from subsight.llm.near_dup import NearDup, drop_near_duplicates, near_duplicates

@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from conftest import by_id
+from llm_rows import by_id
 
 from subsight.llm.secrets import Scanner, dense_windows, find_secrets, redact, secret_digest
 
