@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from subsight.llm.bpe import encode_documents
+from subsight.llm.conversation_sql import OP11
+from subsight.llm.conversations import audit_conversations, damaged
 from subsight.llm.decontaminate import find_leaks
 from subsight.llm.edit_embedding import edited_fingerprints
 from subsight.llm.language import document_languages
@@ -168,3 +170,8 @@ def op2_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_chained_passages")
 def op8_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_turn_alignment", OP11)
+def op11_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_conversations(damaged(table(spark, sf_dir, "conversations")), present="present")
