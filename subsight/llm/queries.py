@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from subsight.llm.bpe import encode_documents
-from subsight.llm.conversation_sql import OP11
+from subsight.llm.conversation_sql import CRC_TABLE, OP11, crc32
 from subsight.llm.conversations import audit_conversations, damaged
 from subsight.llm.decontaminate import find_leaks
 from subsight.llm.edit_embedding import edited_fingerprints
+from subsight.llm.importance import importance_resample
 from subsight.llm.language import document_languages
+from subsight.llm.merge_automaton import tokenize_documents
 from subsight.llm.near_dup import near_duplicates
 from subsight.llm.passages import repeated_passages
 from subsight.llm.pitman_yor import lm_scores
@@ -79,7 +81,7 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def tokenizer(name: str = RANK_FILE) -> tuple[bytes, str]:
-    """Content of a rank file and the pattern that splits texts before it."""
+    """Content of a vocabulary file and the pattern that splits texts before it."""
     import public_tokenizers
 
     with open(public_tokenizers.path(name), "rb") as file:
@@ -175,3 +177,51 @@ def op8_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_turn_alignment", OP11)
 def op11_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_conversations(damaged(table(spark, sf_dir, "conversations")), present="present")
+
+
+#: Model file with the merges, in their order.
+MODEL_FILE = "byte_bpe_50k.json"
+
+
+@query("op12_merge_automaton")
+def op12_merge_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, pattern = tokenizer(MODEL_FILE)
+    return tokenize_documents(table(spark, sf_dir, "documents"), model, pattern, ids=False)
+
+
+_OP13_SQL = f"""WITH {CRC_TABLE},
+texts AS (SELECT doc_id, text, 'raw' AS side FROM documents UNION ALL SELECT item_id, text, 'target' FROM benchmark),
+split AS (
+  SELECT row_number() OVER () AS nth, doc_id, side, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts),
+held AS (
+  SELECT nth, side, unnest(list_concat(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]),
+    [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])) AS f FROM split),
+counted AS (SELECT nth, side, f, count(*) AS n FROM held GROUP BY ALL),
+distinct_features AS (SELECT DISTINCT f FROM counted),
+hashed AS (SELECT f, {crc32('f')} % 10000 AS b FROM distinct_features, crc_table),
+buckets AS (
+  SELECT b, coalesce(sum(n) FILTER (side = 'raw'), 0) AS s, coalesce(sum(n) FILTER (side = 'target'), 0) AS t
+  FROM counted JOIN hashed USING (f) GROUP BY 1),
+totals AS (SELECT coalesce(sum(s), 0) AS big_s, coalesce(sum(t), 0) AS big_t FROM buckets),
+gains AS (
+  SELECT b, floor(1000 * ln(((t + 1) * (big_s + 10000))::DOUBLE / ((s + 1) * (big_t + 10000))::DOUBLE))::BIGINT AS g
+  FROM buckets, totals),
+weights AS (SELECT nth, sum(n)::BIGINT AS n, sum(n * g)::BIGINT AS weight FROM counted JOIN hashed USING (f) JOIN gains USING (b)
+  WHERE side = 'raw' GROUP BY 1),
+scored AS (
+  SELECT nth, doc_id, len(w) >= 20 AS may, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(((
+      '0x' || left(sha256('42:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM split LEFT JOIN weights USING (nth) WHERE side = 'raw'),
+placed AS (SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id NULLS FIRST) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN may AND place <= (SELECT count(*) * 5 // 100 FROM scored WHERE may) THEN place END AS rank
+FROM placed"""
+
+
+@query("op13_importance_resampling", _OP13_SQL)
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.drop("n_words")
