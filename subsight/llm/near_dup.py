@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subsight.llm.graph import components
+from subsight.llm.storage import stored
 from subsight.llm.text import mix, pieces, shingles, words
 from subsight.session import stable
 
@@ -270,8 +271,17 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The documents that stay: one of each group, with all their columns.
 
-    Rows without an id stay, as do all rows of a document that stays.
+    Rows without an id stay, as do all rows of a document that stays.  The
+    dropped ids are stored first: texts are shuffled for this join only where
+    the ids are too many to be broadcast.
     """
     out = near_duplicates(docs, id_column, text, rule).where("not kept and doc_id is not null")
-    out = out.select(F.col("doc_id").alias("_dropped_id")).distinct()
-    return docs.join(out, F.col(f"`{id_column}`") == F.col("_dropped_id"), "left_anti")
+    out = stored(out.select(F.col("doc_id").alias(_free_name("dropped_id", docs))).distinct(), "near-duplicates")
+    return docs.join(out, docs[f"`{id_column}`"].cast("bigint") == out[out.columns[0]], "left_anti")
+
+
+def _free_name(wanted: str, docs: DataFrame) -> str:
+    """A column name that the documents do not use."""
+    while wanted.lower() in (c.lower() for c in docs.columns):
+        wanted += "_"
+    return wanted
