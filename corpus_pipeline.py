@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from subsight.llm.bpe import encode_documents
 from subsight.llm.decontaminate import drop_leaks
 from subsight.llm.language import fit_on, keep_identified
-from subsight.llm.near_dup import drop_near_duplicates
+from subsight.llm.near_dup import NearDup, drop_near_duplicates
 from subsight.llm.queries import table, tokenizer
 from subsight.llm.secrets import redact
+from subsight.llm.storage import release, remove_folder
 from subsight.session import shared_folder
 
 
@@ -20,8 +21,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near-duplicates, at 80 of 100 shingles, stays."""
+    return drop_near_duplicates(docs, rule=NearDup(percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,13 +55,23 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is stored and read again."""
+    """All stages over ``documents``; each result is stored and read again.
+
+    Once a stage's result is stored, the table it read and what it shuffled are
+    of no use any more: the table is removed, and the driver's JVM is asked to
+    collect, which makes Spark drop the shuffles of plans that are gone.
+    """
     docs = table(spark, sf_dir, "documents")
     root = f"{shared_folder(spark).rstrip('/')}/pipeline-{_run_id(spark)}"
+    earlier = None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{root}/{number}-{name}"
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
+        if earlier is not None:
+            remove_folder(spark, earlier)
+        earlier = path
+        release(spark)
     return docs
 
 
