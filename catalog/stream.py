@@ -8,7 +8,8 @@ from catalog.registry import query
 from fixture_views import malformed_messages
 from subsight import schemas
 from subsight.session import shared_folder
-from subsight.sources.events import empty_stream_df, read_stream_files, stg_events
+from subsight.sources.events import empty_stream_df, stg_events
+from subsight.sources.tables import _exists
 from subsight.streaming import contract as ct
 from subsight.streaming import ingest as ing
 from subsight.streaming.status import stream_status
@@ -131,19 +132,73 @@ def _(d):
 
 @query("stream_ingest", _LANDED + " FROM sent WHERE reason IS NULL", _MESSAGES)
 def _(d):
-    return read_stream_files(d.spark, ingest(d).events).drop("received_at")
+    return ing.landed_events(d.spark, ingest(d)).drop("received_at")
 
 
-@query("stream_replay", _LANDED + " FROM sent WHERE reason IS NULL", _MESSAGES)
-def _(d):
-    """Five batches with merged ids in between, each of them delivered twice."""
-    sink = ing.StreamSink(new_folder(d.spark, "replayed"), run=2)
+def deliver_twice(d, sink):
+    """Five batches, each of them delivered twice."""
     lot = F.expr("(offset div 2) % 5")
     for batch in range(5):
         part = d.messages.where((lot == batch) | ((lot == batch - 1) & (F.col("offset") % 40 == 1)))
         for _ in range(2):
             ing.process_batch(part, batch, lambda _: (d.accounts, d.users), sink)
-    return read_stream_files(d.spark, sink.events).drop("received_at")
+
+
+@query("stream_replay", _LANDED + " FROM sent WHERE reason IS NULL", _MESSAGES)
+def _(d):
+    """Replayed batches with packed ones among those they are compared with."""
+    sink = ing.StreamSink(new_folder(d.spark, "replayed"), pack_every=2)
+    deliver_twice(d, sink)
+    return ing.landed_events(d.spark, sink).drop("received_at")
+
+
+@query(
+    "stream_packs",
+    """SELECT event_id % 5 AS batch_id, event_id % 5 < 4 AS packed, count(*) AS events FROM sent
+       WHERE reason IS NULL GROUP BY ALL""",
+    _MESSAGES,
+)
+def _(d):
+    """Events per batch after packing twice: batches 0 to 3 lie in packs, and only there."""
+    sink = ing.StreamSink(new_folder(d.spark, "packed"), pack_every=2)
+    deliver_twice(d, sink)
+    ing.pack_landed(d.spark, sink, 4)
+    loose = d.spark.read.schema(schemas.STREAM_LANDING).option("basePath", sink.events).parquet(f"{sink.events}/batch_id=*")
+    packed = d.spark.read.parquet(f"{sink.packed}/*").select(F.col("batch_id").cast("bigint"), F.lit(True).alias("packed"))
+    both = loose.select(F.col("batch_id").cast("bigint"), F.lit(False).alias("packed")).unionByName(packed)
+    return both.groupBy("batch_id", "packed").agg(F.count("*").alias("events"))
+
+
+@query(
+    "flush_policy",
+    """SELECT event_id // width AS batch_id, count(*) AS received, count(*) FILTER (reason IS NULL) AS persisted,
+              count(*) FILTER (reason IS NOT NULL) AS rejected, count(*) <= width AS within_limit
+       FROM sent, (SELECT CAST(ceil(count(*) / 4.0) AS BIGINT) AS width FROM events) AS policy
+       GROUP BY event_id // width, width""",
+    _MESSAGES,
+)
+def _(d):
+    """Batches of at most a quarter of the events, counted off by a running number."""
+    numbered = d.messages.where("offset % 2 = 0").select(F.expr("offset div 2").alias("number"), "value", "partition", "offset")
+    # dense numbers, so the last one tells how many there are
+    events = d.table("events").agg(F.max("event_id")).first()[0] + 1
+    limit = -(-events // 4)
+
+    def read(max_events):
+        counted = d.spark.readStream.format("rate-micro-batch").option("rowsPerBatch", max_events).load()
+        return counted.select(F.col("value").alias("number")).join(numbered, "number").select("value", "partition", "offset")
+
+    sink = ing.StreamSink(new_folder(d.spark, "limited"))
+    running = ing.ingest_by_policy(read, lambda _: (d.accounts, d.users), sink, max_events=limit, seconds=0.1)
+    try:
+        while running.isActive and not _exists(d.spark, f"{sink.counters}/batch_id={(events - 1) // limit}/_SUCCESS"):
+            running.awaitTermination(0.2)
+    finally:
+        running.stop()
+    counters = d.spark.read.schema(schemas.STREAM_COUNTERS).parquet(sink.counters).where("received > 0")
+    return counters.select(
+        F.col("batch_id").cast("bigint"), "received", "persisted", "rejected", (F.col("received") <= limit).alias("within_limit")
+    )
 
 
 @query("stream_rejects", "SELECT reason, id AS event_id FROM deliveries WHERE reason IS NOT NULL", _MESSAGES)
@@ -179,7 +234,7 @@ def _(d):
 def _(d):
     # one file, so that their number does not depend on the machine
     path = new_folder(d.spark, "landed")
-    read_stream_files(d.spark, ingest(d).events).coalesce(1).write.parquet(path)
+    ing.landed_events(d.spark, ingest(d)).coalesce(1).write.parquet(path)
     landing = d.spark.read.schema(schemas.STREAM_LANDING).parquet(path)
     now = F.lit("2024-02-01 12:00:00").cast("timestamp")
     return stream_status(landing, now)

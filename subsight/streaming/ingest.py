@@ -5,23 +5,22 @@ A batch that is replayed after a crash therefore replaces its own output, and
 the checkpoint advances after the writes: at-least-once delivery ends up as
 exactly one persisted row per event id.
 
-Persisted ids are kept in runs, as in a log-structured merge: when a batch
-number is a multiple of 16, the 16 runs before it become one, in folders by
-hash of the id.  A batch reads, of a few runs per digit of its number, the
-folders its own ids fall into.
+The landed events are the table of known ids: a batch looks its own ids up in
+those of earlier batches.  Small landed files are packed into larger ones, each
+once; a pack counts from the moment its commit marker stands, and the folders
+it replaces go when a later pack is made, so that readers are not disturbed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from subsight.schemas import STREAM_COUNTERS
+from subsight.schemas import STREAM_COUNTERS, STREAM_LANDING
 from subsight.sources.tables import _exists
 from subsight.streaming.contract import (
     event_row,
@@ -32,26 +31,26 @@ from subsight.streaming.contract import (
 
 References = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
 
-#: Batches of ids, and then runs of them, that are merged into one run.
-RUN = 16
-#: Folders of a merged run; a batch reads only those of its own ids.
-ID_BUCKETS = 64
+#: Batches after which landed files are packed, and bytes of input per pack.
+PACK_EVERY = 64
+PACK_BYTES = 4 << 30
 
 
 @dataclass(frozen=True)
 class StreamSink:
-    """Folders of one ingestion target; ``run`` is fixed once batches exist."""
+    """Folders of one ingestion target."""
 
     root: str
-    run: int = RUN
+    pack_every: int = PACK_EVERY
 
     @property
     def events(self) -> str:
         return f"{self.root}/product_events"
 
-    def id_run(self, start: int, size: int) -> str:
-        """Ids of ``size`` batches from ``start``."""
-        return f"{self.root}/event_ids/size={size}/start={start}"
+    @property
+    def packed(self) -> str:
+        """Packs, in folders named by their first and last batch."""
+        return f"{self.root}/packed_events"
 
     @property
     def rejected(self) -> str:
@@ -76,75 +75,89 @@ def dedup_batch(valid: DataFrame) -> DataFrame:
     return valid.withColumn("_delivery", F.row_number().over(arrival)).where("_delivery = 1").drop("_delivery")
 
 
-def id_runs(before: int, run: int = RUN) -> list[tuple[int, int]]:
-    """Runs (first batch, number of batches) that cover all batches below ``before``.
-
-    Sizes are powers of ``run``, so there are a few per digit of the batch
-    number, and the list follows from that number alone.
-    """
-    runs, start = [], 0
-    while start < before:
-        size = 1
-        while start % (size * run) == 0 and start + size * run <= before:
-            size *= run
-        runs.append((start, size))
-        start += size
-    return runs
+def _folders(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names of the finished folders in ``path``, with their bytes."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [status.getPath().getParent() for status in fs.globStatus(pattern) or ()]
+    return {folder.getName(): fs.getContentSummary(folder).getLength() for folder in found}
 
 
-def id_bucket(event_id: Column) -> Column:
-    return F.pmod(F.xxhash64(event_id), F.lit(ID_BUCKETS)).cast("int")
+def _packs(spark: SparkSession, sink: StreamSink) -> list[tuple[int, int]]:
+    """(first, last batch) of every committed pack."""
+    return sorted(tuple(map(int, name.split("-"))) for name in _folders(spark, sink.packed))
 
 
-def _run_ids(spark: SparkSession, path: str, size: int, buckets: Iterable[int] | None = None) -> DataFrame:
-    if size == 1:
-        return spark.read.schema("event_id string").parquet(path)
-    ids = spark.read.schema("event_id string, bucket int").parquet(path)
-    if buckets is not None:
-        ids = ids.where(F.col("bucket").isin(list(buckets)))
-    return ids.select("event_id")
+def _loose(spark: SparkSession, sink: StreamSink, packs: list[tuple[int, int]]) -> dict[int, int]:
+    """Finished batches that no pack covers, with their bytes."""
+    batches = {int(name.split("=")[1]): size for name, size in _folders(spark, sink.events).items()}
+    return {b: size for b, size in sorted(batches.items()) if not any(a <= b <= z for a, z in packs)}
 
 
-def known_ids(
-    spark: SparkSession, sink: StreamSink, before: int, buckets: Iterable[int] | None = None
-) -> DataFrame | None:
-    """Ids persisted by batches earlier than ``before``.
+def _read_batches(spark: SparkSession, sink: StreamSink, batches: list[int]) -> DataFrame:
+    reader = spark.read.schema(STREAM_LANDING).option("basePath", sink.events)
+    paths = [f"{sink.events}/batch_id={b}" for b in batches]
+    return reader.parquet(*paths).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
-    ``buckets`` limits what is read of merged runs to the folders of those
-    buckets.  Neither the number of runs nor their folders are listed.
-    """
-    found = None
-    for start, size in id_runs(before, sink.run):
-        path = sink.id_run(start, size)
-        if not _exists(spark, path):
-            continue
-        ids = _run_ids(spark, path, size, buckets)
-        found = ids if found is None else found.unionByName(ids)
-    return found
 
+def landed(spark: SparkSession, sink: StreamSink, before: int | None = None) -> DataFrame:
+    """Landed events with their batch number, of batches below ``before`` if given.
 
-def merge_ids(spark: SparkSession, sink: StreamSink, before: int) -> None:
-    """Merge the runs that end at ``before``, smallest first.
-
-    Called when batch ``before`` begins, so everything below it is committed
-    and no earlier batch can come back.  A merged run is complete or absent:
-    its parts are removed only after it has been written.
+    Packs are listed first: what is packed in the meantime is still found in
+    the folders of its batches.
+    """
+    packs = _packs(spark, sink)
+    loose = [b for b in _loose(spark, sink, packs) if before is None or b < before]
+    parts = []
+    if loose:
+        parts.append(_read_batches(spark, sink, loose))
+    if packs:
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_LANDING.fields)
+        paths = [f"{sink.packed}/{a}-{z}" for a, z in packs]
+        packed = spark.read.schema(f"{columns}, batch_id bigint").parquet(*paths)
+        parts.append(packed if before is None else packed.where(F.col("batch_id") < before))
+    if not parts:
+        return spark.createDataFrame([], STREAM_LANDING).withColumn("batch_id", F.lit(0).cast("bigint"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def landed_events(spark: SparkSession, sink: StreamSink) -> DataFrame:
+    """All landed events in the landing format."""
+    return landed(spark, sink).drop("batch_id")
+
+
+def pack_landed(spark: SparkSession, sink: StreamSink, before: int, pack_bytes: int = PACK_BYTES) -> list[tuple[int, int]]:
+    """Pack the loose batches below ``before``; returns the new packs.
+
+    Call it when batch ``before`` begins: all below it are committed and none
+    of them can come back.  Neighbouring batches go together up to
+    ``pack_bytes``, in files sized by bytes, and every batch is rewritten once.
+    A pack is valid with its ``_SUCCESS`` marker; a failed one is overwritten.
+    Folders that earlier packs replaced are removed first.
     """
-    size = sink.run
-    while before and before % size == 0:
-        start, part = before - size, size // sink.run
-        target = sink.id_run(start, size)
-        if not _exists(spark, f"{target}/_SUCCESS"):
-            paths = [sink.id_run(start + i * part, part) for i in range(sink.run)]
-            paths = [p for p in paths if _exists(spark, p)]
-            if paths:
-                # one by one: folders of a bucket in several runs are no table
-                ids = reduce(DataFrame.union, [_run_ids(spark, p, part) for p in paths])
-                bucketed = ids.withColumn("bucket", id_bucket(F.col("event_id"))).hint("rebalance", "bucket")
-                bucketed.write.mode("overwrite").partitionBy("bucket").parquet(target)
-                for path in paths:
-                    _remove(spark, path)
-        size *= sink.run
+    packs = _packs(spark, sink)
+    for name in _folders(spark, sink.events):
+        batch = int(name.split("=")[1])
+        if any(a <= batch <= z for a, z in packs):
+            _remove(spark, f"{sink.events}/{name}")
+    groups: list[list[int]] = []
+    held = 0
+    for batch, size in _loose(spark, sink, packs).items():
+        if batch >= before:
+            continue
+        if not groups or held + size > pack_bytes:
+            groups.append([])
+            held = 0
+        groups[-1].append(batch)
+        held += size
+    made = []
+    for group in groups:
+        if len(group) > 1:
+            rows = _read_batches(spark, sink, group).hint("rebalance")
+            rows.write.mode("overwrite").parquet(f"{sink.packed}/{group[0]}-{group[-1]}")
+            made.append((group[0], group[-1]))
+    return made
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -152,14 +165,13 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def drop_persisted(valid: DataFrame, persisted: DataFrame | None) -> DataFrame:
+def drop_persisted(valid: DataFrame, persisted: DataFrame) -> DataFrame:
     """Rows whose id has not been persisted yet, however long ago.
 
     The persisted ids are many and the batch is small, so the ids are first
-    reduced to those of the batch; adaptive execution knows its true size.
+    reduced to those of the batch; adaptive execution knows its true size and
+    spares the persisted ids a shuffle.
     """
-    if persisted is None:
-        return valid
     wanted = valid.select("event_id").distinct()
     seen = persisted.select("event_id").join(wanted, "event_id", "left_semi").distinct()
     return valid.join(seen, "event_id", "left_anti")
@@ -185,39 +197,39 @@ def dedup_within_watermark(valid_stream: DataFrame, delay: str) -> DataFrame:
     return valid_stream.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def batch_counters(checked: DataFrame, persisted_rows: int) -> DataFrame:
-    """Counters of one batch; the latest time also advances on duplicates."""
-    rejected = F.count("reason")
-    persisted = F.lit(persisted_rows).cast("bigint")
-    return checked.agg(
-        F.count("*").alias("received"),
-        persisted.alias("persisted"),
-        rejected.alias("rejected"),
-        (F.count("*") - rejected - persisted).alias("duplicates"),
-        F.max(F.when(F.col("reason").isNull(), F.col("event_timestamp"))).alias("latest_event_timestamp"),
-    )
-
-
 def process_batch(messages: DataFrame, batch_id: int, references: References, sink: StreamSink) -> None:
-    """Validate, deduplicate and persist one micro-batch."""
+    """Validate, deduplicate and persist one micro-batch.
+
+    Its counters are observed by the two writes themselves, in their last
+    stages, where every row passes once however often an earlier one is rerun.
+    The latest time also advances on duplicates.
+    """
     spark = messages.sparkSession
+    if sink.pack_every and batch_id and batch_id % sink.pack_every == 0:
+        pack_landed(spark, sink, batch_id)
     accounts, users = references(spark)
-    merge_ids(spark, sink, batch_id)
     # read several times; a lost block is recomputed from the source
     checked = validate_ownership(validate_contract(messages), accounts, users).persist()
     try:
-        first = dedup_batch(checked.where("reason is null"))
-        # at most ID_BUCKETS numbers
-        buckets = [r[0] for r in first.select(id_bucket(F.col("event_id"))).distinct().collect()]
-        fresh = event_row(drop_persisted(first, known_ids(spark, sink, batch_id, buckets)))
-        target = f"{sink.events}/batch_id={batch_id}"
-        fresh.write.mode("overwrite").parquet(target)
-        written = spark.read.schema(fresh.schema).parquet(target)
-        written.select("event_id").write.mode("overwrite").parquet(sink.id_run(batch_id, 1))
-        rejected_row(checked.where("reason is not null")).write.mode("overwrite").json(
+        received, persisted = Observation(), Observation()
+        valid = F.when(F.col("reason").isNull(), F.col("event_timestamp"))
+        seen = checked.observe(
+            received,
+            F.count(F.lit(1)).alias("rows"),
+            F.count("reason").alias("rejected"),
+            F.max(valid).alias("latest"),
+        )
+        rejected_row(seen.where("reason is not null")).write.mode("overwrite").json(
             f"{sink.rejected}/batch_id={batch_id}"
         )
-        batch_counters(checked, written.count()).write.mode("overwrite").parquet(
+        first = dedup_batch(checked.where("reason is null"))
+        fresh = event_row(drop_persisted(first, landed(spark, sink, batch_id)))
+        fresh.observe(persisted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
+            f"{sink.events}/batch_id={batch_id}"
+        )
+        found, kept = received.get, persisted.get["rows"]
+        row = (found["rows"], kept, found["rejected"], found["rows"] - found["rejected"] - kept, found["latest"])
+        spark.createDataFrame([row], STREAM_COUNTERS).coalesce(1).write.mode("overwrite").parquet(
             f"{sink.counters}/batch_id={batch_id}"
         )
     finally:

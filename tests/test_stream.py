@@ -156,41 +156,60 @@ def test_ingest_restart_and_replay(spark, references, tmp_path):
     assert merged.count() == 3
 
 
-def test_runs_cover_every_batch_once():
-    for before in (0, 1, 15, 16, 17, 31, 32, 255, 256, 257, 4096 + 300):
-        covered = [b for start, size in ing.id_runs(before) for b in range(start, start + size)]
-        assert covered == list(range(before))
-        assert len(ing.id_runs(before)) <= 45
+def batches(i):
+    """A new event and one of two batches ago."""
+    return {**GOOD, "event_id": f"E{i}"}, {**GOOD, "event_id": f"E{max(0, i - 2)}"}
 
 
 @pytest.mark.parametrize("replayed", [3, 4, 5])
-def test_merged_ids_survive_replays(spark, references, tmp_path, replayed):
-    """A batch that comes back before, at and after a merge leaves what it left."""
-    sink = ing.StreamSink(f"{tmp_path}/out", run=2)
+def test_packs_survive_replays(spark, references, tmp_path, replayed):
+    """A batch that comes back before, at and after packing leaves what it left."""
+    sink = ing.StreamSink(f"{tmp_path}/out", pack_every=2)
     for i in range(replayed + 1):
-        again = {**GOOD, "event_id": f"E{max(0, i - 2)}"}
-        ing.process_batch(messages(spark, {**GOOD, "event_id": f"E{i}"}, again), i, lambda _: references, sink)
-    last = messages(spark, {**GOOD, "event_id": f"E{replayed}"}, {**GOOD, "event_id": f"E{max(0, replayed - 2)}"})
-    before = rows(read_stream_files(spark, sink.events), "event_id")
+        ing.process_batch(messages(spark, *batches(i)), i, lambda _: references, sink)
+    before = rows(ing.landed_events(spark, sink), "event_id", "kafka_offset")
     counters = one(ing.stream_counters(spark, sink))
-    ing.process_batch(last, replayed, lambda _: references, sink)
-    assert rows(read_stream_files(spark, sink.events), "event_id") == before
+    ing.process_batch(messages(spark, *batches(replayed)), replayed, lambda _: references, sink)
+    assert rows(ing.landed_events(spark, sink), "event_id", "kafka_offset") == before
     assert len(before) == replayed + 1 == counters["persisted"]
     assert one(ing.stream_counters(spark, sink)) == counters
 
 
-def test_batch_reads_only_its_buckets(spark, references, tmp_path):
-    sink = ing.StreamSink(f"{tmp_path}/out", run=2)
-    for i in range(2):
-        many = [{**GOOD, "event_id": f"{i}-{j}"} for j in range(300)]
-        ing.process_batch(messages(spark, *many), i, lambda _: references, sink)
-    ing.merge_ids(spark, sink, 2)
-    assert ing.id_runs(2, 2) == [(0, 2)] and not (tmp_path / "out/event_ids/size=1/start=0").exists()
-    wanted = spark.range(1).select(ing.id_bucket(F.lit("1-7"))).first()[0]
-    every, some = ing.known_ids(spark, sink, 2), ing.known_ids(spark, sink, 2, [wanted])
-    assert every.count() == 600 and some.count() < 40
-    assert some.where("event_id = '1-7'").count() == 1
-    assert "PartitionFilters: [isnotnull(bucket" in some._jdf.queryExecution().toString()
+def test_packing_keeps_rows_and_disturbs_no_reader(spark, references, tmp_path):
+    sink = ing.StreamSink(f"{tmp_path}/out", pack_every=0)
+    for i in range(5):
+        ing.process_batch(messages(spark, *batches(i)), i, lambda _: references, sink)
+    held = rows(ing.landed(spark, sink), "batch_id", "event_id")
+    reading = ing.landed(spark, sink)  # planned before the pack, run after it
+    assert ing.pack_landed(spark, sink, 4) == [(0, 3)]
+    assert rows(reading, "batch_id", "event_id") == held == rows(ing.landed(spark, sink), "batch_id", "event_id")
+    assert rows(ing.landed(spark, sink, 2), "batch_id") == [(0,), (1,)]
+    # nothing to pack; what the first pack replaced goes now
+    assert ing.pack_landed(spark, sink, 4) == []
+    assert not (tmp_path / "out/product_events/batch_id=3").exists() and (tmp_path / "out/product_events/batch_id=4").exists()
+    assert rows(ing.landed(spark, sink), "batch_id", "event_id") == held
+    # a pack without its marker does not count
+    (tmp_path / "out/packed_events/0-3/_SUCCESS").rename(tmp_path / "out/packed_events/0-3/other")
+    assert rows(ing.landed(spark, sink), "batch_id") == [(4,)]
+
+
+def test_packs_are_limited_by_bytes(spark, references, tmp_path):
+    sink = ing.StreamSink(f"{tmp_path}/out", pack_every=0)
+    for i in range(6):
+        ing.process_batch(messages(spark, *batches(i)), i, lambda _: references, sink)
+    size = max(ing._folders(spark, sink.events).values())
+    assert ing.pack_landed(spark, sink, 6, 2 * size + 9) == [(0, 1), (2, 3), (4, 5)]
+    assert rows(ing.landed_events(spark, sink), "event_id") == [(f"E{i}",) for i in range(6)]
+
+
+def test_counters_cost_no_query_of_their_own(spark, references, tmp_path):
+    """A batch is three writes, which count its rows on the way."""
+    sink = ing.StreamSink(f"{tmp_path}/out", pack_every=0)
+    ran = spark._jsparkSession.sharedState().statusStore().executionsCount
+    before = ran()
+    ing.process_batch(messages(spark, *batches(1), b"broken"), 0, lambda _: references, sink)
+    assert ran() - before == 3
+    assert one(ing.stream_counters(spark, sink))["rejected"] == 1
 
 
 def test_users_under_several_accounts_do_not_multiply(spark, build):
@@ -219,7 +238,7 @@ def test_ingest_by_policy(spark, references, tmp_path):
     running = ing.ingest_by_policy(read, lambda _: references, sink, max_events=7, seconds=1)
     running.processAllAvailable()
     running.stop()
-    assert asked == [7] and read_stream_files(spark, sink.events).count() == 1
+    assert asked == [7] and ing.landed_events(spark, sink).count() == 1
 
 
 def test_state_store_dedup(spark, tmp_path):
