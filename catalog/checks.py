@@ -4,7 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from catalog.churn import features_of, with_score
+from catalog.churn import features_of, stored_features_of, with_score
 from catalog.registry import query, rounded
 from catalog.retention import revenue_of
 from catalog.sql import (
@@ -20,6 +20,7 @@ from catalog.sql import (
 )
 from catalog.stream import new_folder
 from catalog.usage import MART_ACTIVITY, activation_of, activity_of
+from subsight import schemas
 from subsight.operators import activation as act
 from subsight.operators import billing as bl
 from subsight.operators import quality as qa
@@ -28,9 +29,11 @@ from subsight.operators import revenue as rev
 from subsight.operators import snapshots as sn
 from subsight.operators.activity import feature_adoption, mart_account_activity
 from subsight.operators.health import freshness, run_health
-from subsight.plans.daily import run_daily
+from subsight.plans.daily import MART_ENUMS, MART_REQUIRED, run_daily
 from subsight.plans.marts import Staged
+from subsight.plans.training import stored_scorer, train_and_store
 from subsight.sinks.tables import backfill, write_snapshot
+from subsight.sources.tables import _exists
 
 # --- snapshots ------------------------------------------------------------------------
 
@@ -88,11 +91,119 @@ def _(d):
     return d.spark.read.parquet(path)
 
 
-@query("daily_run")
+# Checks of the daily gate that are no rules on single rows.
+_GATE_CHECKS = (
+    [f"unique_{t}_{k}" for t, k in schemas.PRIMARY_KEYS.items() if t != "events"]
+    + [f"relationship_{t}_account" for t in schemas.TABLES if t != "accounts"]
+    + ["relationship_events_user", "relationship_invoices_subscription"]
+    + [
+        f"unique_{mart}"
+        for mart in (
+            "dim_account", "fact_product_events", "fact_subscriptions", "mart_activation", "mart_account_activity",
+            "mart_feature_adoption", "mart_logo_churn", "mart_revenue_churn", "mart_revenue_retention",
+            "mart_retention_behavior", "int_account_monthly_revenue",
+        )
+    ]
+    + [f"relationship_{mart}" for mart in ("mart_activation", "mart_account_activity", "mart_churn_features")]
+    + [
+        "features_without_leakage", "activity_bounds", "activation_consistency", "adoption_bounds", "retention_bounds",
+        "revenue_bounds", "churn_matches_cancellations", "churn_feature_validity",
+    ]
+)
+_MART_RULE_NAMES = [f"not_null_{mart}_{c}" for mart, columns in MART_REQUIRED.items() for c in columns] + [
+    f"accepted_{mart}_{column}" for mart, column in MART_ENUMS
+]
+_MAY_BE_NULL = ("subscription_start_date", "cancellation_date")
+_SOURCE_LISTS = {
+    ("accounts", "plan"): schemas.PLANS,
+    ("accounts", "engagement_level"): schemas.ENGAGEMENT_LEVELS,
+    ("users", "role"): schemas.ROLES,
+    ("subscriptions", "plan"): schemas.PLANS,
+    ("subscriptions", "subscription_status"): schemas.SUBSCRIPTION_STATUSES,
+    ("invoices", "plan"): schemas.PLANS,
+    ("invoices", "payment_status"): schemas.PAYMENT_STATUSES,
+    ("events", "event_name"): schemas.EVENT_NAMES,
+    ("events", "event_version"): schemas.EVENT_VERSIONS,
+}
+
+
+def _gate_sql(bent: dict[str, str], scored: str) -> str:
+    """The report: source rules counted, all other checks without a violation, and the scored accounts.
+
+    ``bent`` replaces the rows of a source table.
+    """
+    parts = []
+    for table, schema in schemas.TABLES.items():
+        rules = {f"not_null_{table}_{c}": f"{c} IS NULL" for c in schema.fieldNames() if c not in _MAY_BE_NULL}
+        for (owner, column), values in _SOURCE_LISTS.items():
+            if owner == table:
+                listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+                rules[f"accepted_{table}_{column}"] = f"{column} NOT IN ({listed})"
+        counts = ", ".join(f"count(*) FILTER ({bad})" for bad in rules.values())
+        names = ", ".join(f"'{name}'" for name in rules)
+        rows = bent.get(table, f"SELECT * FROM {'product_events' if table == 'events' else table}")
+        parts.append(f"SELECT unnest([{names}]) AS check_name, unnest([{counts}]) AS violations FROM ({rows})")
+    names = ", ".join(f"'{n}'" for n in [*_GATE_CHECKS, *_MART_RULE_NAMES])
+    parts.append(f"SELECT unnest([{names}]), CAST(0 AS BIGINT)")
+    return (
+        "SELECT check_name, violations, violations = 0 AS passed FROM ("
+        + " UNION ALL ".join(parts)
+        + f") UNION ALL SELECT 'scored accounts', {scored}, TRUE"
+    )
+
+
+def _report_of(d, folder, report):
+    """Report rows and how many accounts were scored."""
+    path = f"{folder}/scores"
+    scored = d.spark.read.parquet(path).count() if _exists(d.spark, path) else 0
+    row = d.spark.range(1).select(
+        F.lit("scored accounts").alias("check_name"), F.lit(scored).cast("bigint").alias("violations"), F.lit(True).alias("passed")
+    )
+    return report.unionByName(row)
+
+
+def _staged(d, **bent):
+    names = ("accounts", "users", "subscriptions", "invoices", "events")
+    return Staged(**{name: bent.get(name, getattr(d, name)) for name in names})
+
+
+@query(
+    "daily_run",
+    _gate_sql({}, "(SELECT count(*) FROM subscriptions WHERE subscription_status = 'active')"),
+)
+def _(d):
+    """One day with scores of a stored model: the quality report and the number of scored accounts."""
+    folder = new_folder(d.spark, "daily")
+    train_and_store(stored_features_of(d), f"{folder}/training", "run-1")
+    scorer = stored_scorer(d.spark, f"{folder}/training", "run-1")
+    return _report_of(d, folder, run_daily("2024-12-01", _staged(d), folder, scorer))
+
+
+@query(
+    "daily_gate",
+    _gate_sql(
+        {
+            "users": "SELECT * REPLACE (CASE WHEN CAST(user_id AS INT) % 7 = 3 THEN 'Ghost' ELSE role END AS role) FROM users",
+            "invoices": """SELECT * REPLACE (CASE WHEN CAST(invoice_id AS INT) % 11 <> 5 THEN payment_status END
+                AS payment_status) FROM invoices""",
+            "events": """SELECT * REPLACE (CASE WHEN CAST(event_id AS INT) % 13 = 0 THEN 9 ELSE event_version END
+                AS event_version) FROM product_events""",
+        },
+        "CAST(0 AS BIGINT)",
+    ),
+)
 def _(d):
-    """Snapshots, marts, quality gate and scores of one day; the quality report."""
-    staged = Staged(d.accounts, d.users, d.subscriptions, d.invoices, d.events)
-    return run_daily("2024-12-01", staged, new_folder(d.spark, "daily"), with_score)
+    """Bent roles, payment states and event versions: they are reported and nothing is scored."""
+    users = d.users.withColumn("role", F.when(F.col("user_id").cast("int") % 7 == 3, "Ghost").otherwise(F.col("role")))
+    invoices = d.invoices.withColumn("payment_status", F.when(F.col("invoice_id").cast("int") % 11 != 5, F.col("payment_status")))
+    version = F.when(F.col("event_id").cast("int") % 13 == 0, 9).otherwise(F.col("event_version"))
+    folder = new_folder(d.spark, "daily")
+    staged = _staged(d, users=users, invoices=invoices, events=d.events.withColumn("event_version", version))
+    try:
+        run_daily("2024-12-01", staged, folder, with_score)
+    except qa.QualityGateError:
+        pass
+    return _report_of(d, folder, d.spark.read.parquet(f"{folder}/quality/date=2024-12-01"))
 
 
 # --- generic quality checks -------------------------------------------------------------

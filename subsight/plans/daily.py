@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subsight import schemas
@@ -14,7 +14,7 @@ from subsight.operators.features import current_scoring_features, leakage_check
 from subsight.operators.retention import SEGMENT_TYPES
 from subsight.operators.scoring import score_frame
 from subsight.operators.snapshots import DATASETS, parse_logical_date
-from subsight.plans.marts import Staged, build_marts, materialise_events, stored_in
+from subsight.plans.marts import MeasuredStore, Staged, build_marts, materialise_events
 from subsight.sinks.tables import write_scores, write_snapshot
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -33,7 +33,7 @@ _ENUMS = {
 }
 _OPTIONAL = ("subscription_start_date", "cancellation_date")
 
-_MART_ENUMS = {
+MART_ENUMS = {
     ("dim_account", "plan"): schemas.PLANS,
     ("dim_account", "subscription_status"): schemas.SUBSCRIPTION_STATUSES,
     ("fact_subscriptions", "subscription_status"): schemas.SUBSCRIPTION_STATUSES,
@@ -42,7 +42,7 @@ _MART_ENUMS = {
     ("mart_retention_behavior", "retention_status"): ("retained", "churned"),
     ("mart_churn_features", "churn_label"): (0, 1),
 }
-_MART_REQUIRED = {
+MART_REQUIRED = {
     "dim_account": ("account_id",),
     "fact_product_events": ("event_id",),
     "fact_subscriptions": ("subscription_id",),
@@ -59,28 +59,32 @@ _MART_REQUIRED = {
 }
 
 
-def mart_rules(marts: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Required columns and enums of the marts, one scan per mart."""
-    counted = []
-    for name, required in _MART_REQUIRED.items():
-        rules = {f"not_null_{name}_{c}": F.col(c).isNull() for c in required}
-        for (mart, column), values in _MART_ENUMS.items():
-            if mart == name:
-                rules[f"accepted_{name}_{column}"] = ~F.col(column).isin(*values)
-        counted.append(q.count_rules(marts[name], rules))
-    return counted
+def _rules(name: str, required: Iterable[str], enums: Mapping[tuple[str, str], Iterable]) -> dict[str, Column]:
+    rules = {f"not_null_{name}_{c}": F.col(c).isNull() for c in required}
+    for (table, column), values in enums.items():
+        if table == name:
+            rules[f"accepted_{name}_{column}"] = ~F.col(column).isin(*values)
+    return rules
+
+
+def mart_rules() -> dict[str, dict[str, Column]]:
+    """Bad rows of each mart: missing columns and values outside the lists.
+
+    Events are stored like a mart, so the rules of their source table are
+    among those of ``fact_product_events``.
+    """
+    rules = {name: _rules(name, required, MART_ENUMS) for name, required in MART_REQUIRED.items()}
+    rules["fact_product_events"] |= _rules("events", schemas.EVENTS.fieldNames(), _ENUMS)
+    return rules
 
 
 def staging_rules(staged: Staged) -> list[DataFrame]:
-    """Required columns and enums of the source tables, one scan per table."""
+    """Required columns and enums of the source tables other than events, one scan per table."""
     counted = []
     for name in schemas.TABLES:
-        df = getattr(staged, name)
-        rules = {f"not_null_{name}_{c}": F.col(c).isNull() for c in df.columns if c not in _OPTIONAL}
-        for (table, column), values in _ENUMS.items():
-            if table == name:
-                rules[f"accepted_{name}_{column}"] = ~F.col(column).isin(*values)
-        counted.append(q.count_rules(df, rules))
+        if name != "events":
+            df = getattr(staged, name)
+            counted.append(q.count_rules(df, _rules(name, [c for c in df.columns if c not in _OPTIONAL], _ENUMS)))
     return counted
 
 
@@ -146,6 +150,7 @@ def run_daily(
 ) -> DataFrame:
     """Run one day; returns the quality report.  A failed check stops scoring.
 
+    Rules on single rows of marts are counted by the writes that store them.
     ``scorer`` turns feature rows into the same rows with
     ``churn_probability``.  Scores are as of the latest event date unless
     ``score_as_of`` is given.
@@ -155,11 +160,12 @@ def run_daily(
         write_snapshot(dataset, getattr(staged, dataset), logical, f"{root}/snapshots")
 
     spark = staged.accounts.sparkSession
-    stored, usage = materialise_events(staged, f"{root}/marts")
-    marts = build_marts(stored, usage, stored_in(spark, f"{root}/marts"))
+    store = MeasuredStore(spark, f"{root}/marts", mart_rules())
+    stored, usage = materialise_events(staged, f"{root}/marts", store)
+    marts = build_marts(stored, usage, store)
 
     checks = staging_checks(stored, usage) | mart_checks(marts, stored.accounts, stored.subscriptions)
-    report = q.quality_report(checks | dict(extra_checks or {}), [*staging_rules(stored), *mart_rules(marts)])
+    report = q.quality_report(checks | dict(extra_checks or {}), [*staging_rules(stored), store.counted()])
     report.write.mode("overwrite").parquet(f"{root}/quality/date={logical.isoformat()}")
     report = spark.read.parquet(f"{root}/quality/date={logical.isoformat()}")
     q.require_quality(report)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from subsight.operators.activation import account_activation, mart_activation
 from subsight.operators.activity import (
@@ -65,22 +66,6 @@ def stage(tables: Mapping[str, DataFrame], streamed: DataFrame | None = None) ->
     )
 
 
-def materialise_events(staged: Staged, folder: str) -> tuple[Staged, DataFrame]:
-    """Store deduplicated events and their daily roll-up once.
-
-    A DataFrame is recomputed by every action.  Deduplication is the one full
-    shuffle of raw events, so it is paid here and the marts start from the
-    stored tables, most of them from the much smaller roll-up.
-    """
-    spark = staged.accounts.sparkSession
-    events = spark.read.parquet(write_table(fact_product_events(staged.events), folder, "fact_product_events"))
-    usage = spark.read.parquet(write_table(daily_usage(events), folder, "daily_usage"))
-    return (
-        Staged(staged.accounts, staged.users, staged.subscriptions, staged.invoices, events),
-        usage,
-    )
-
-
 Store = Callable[[str, DataFrame], DataFrame]
 
 
@@ -93,6 +78,51 @@ def stored_in(spark: SparkSession, folder: str) -> Store:
     return store
 
 
+class MeasuredStore:
+    """A store that counts the rows breaking each rule in the write itself.
+
+    ``rules`` are conditions on bad rows by mart and rule name.  They are
+    observed on top of the plan that is written, in its last stage, so every
+    row is counted once and nothing is read again.  Counts gather in
+    ``violations``, one number per rule.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, rules: Mapping[str, Mapping[str, Column]]):
+        self.spark, self.folder, self.rules = spark, folder, rules
+        self.violations: dict[str, int] = {}
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        measured, rules = df, self.rules.get(name)
+        if rules:
+            seen = Observation()
+            counts = [F.count(F.when(failed, F.lit(1))).alias(rule) for rule, failed in rules.items()]
+            measured = df.observe(seen, *counts)
+        path = write_table(measured, self.folder, name)
+        if rules:
+            self.violations |= seen.get
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def counted(self) -> DataFrame:
+        """The counts as :func:`subsight.operators.quality.count_rules` gives them."""
+        return self.spark.createDataFrame(list(self.violations.items()), "check_name string, violations bigint")
+
+
+def materialise_events(staged: Staged, folder: str, store: Store | None = None) -> tuple[Staged, DataFrame]:
+    """Store deduplicated events and their daily roll-up once.
+
+    A DataFrame is recomputed by every action.  Deduplication is the one full
+    shuffle of raw events, so it is paid here and the marts start from the
+    stored tables, most of them from the much smaller roll-up.
+    """
+    store = store or stored_in(staged.accounts.sparkSession, folder)
+    events = store("fact_product_events", fact_product_events(staged.events))
+    usage = store("daily_usage", daily_usage(events))
+    return (
+        Staged(staged.accounts, staged.users, staged.subscriptions, staged.invoices, events),
+        usage,
+    )
+
+
 def build_marts(staged: Staged, usage: DataFrame | None = None, store: Store | None = None) -> dict[str, DataFrame]:
     """All marts by name.
 
