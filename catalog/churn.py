@@ -14,7 +14,7 @@ from subsight.operators import models as ml
 from subsight.operators import scoring as sc
 from subsight.operators.activation import account_activation
 from subsight.plans.training import stored_scorer, train_and_store
-from subsight.schemas import FEATURE_COLUMNS
+from subsight.schemas import CATEGORICAL_FEATURES, FEATURE_COLUMNS, NUMERIC_FEATURES
 from subsight.session import stable
 
 _TRAINING = chain(SPINE, ACTIVATION, FEATURES)
@@ -240,13 +240,95 @@ def _(d):
     return _test_rows(d, ml.LOGISTIC)
 
 
+# the training dates are all but the last two
+_TRAINING_ROWS = """train AS (SELECT * FROM features WHERE prediction_date NOT IN
+    (SELECT DISTINCT prediction_date FROM features ORDER BY 1 DESC LIMIT 2))"""
+
+
+@query(
+    "logistic_optimality",
+    f"SELECT unnest([{', '.join(repr(c) for c in [*NUMERIC_FEATURES, 'intercept'])}]) AS input, TRUE AS optimal"
+    + "".join(
+        f" UNION ALL SELECT DISTINCT '{c}=' || {c}, TRUE FROM train WHERE {c} IS NOT NULL UNION ALL SELECT '{c}=', TRUE"
+        for c in CATEGORICAL_FEATURES
+    ),
+    chain(_TRAINING, _TRAINING_ROWS),
+)
+def _(d):
+    """The slope of the balanced loss along every coefficient, summed over the training rows, is next to nothing."""
+    train, _, _ = ev.temporal_split(stored_features_of(d))
+    slopes = ml.logistic_gradient(ml.fit(ml.LOGISTIC, train), train)
+    return slopes.select("input", (F.abs("gradient") < 1e-4).alias("optimal"))
+
+
 @query("boosted_trees_model", _TEST_ROWS, _TRAINING)
 def _(d):
     """Test-date rows with a probability of the boosted trees."""
     return _test_rows(d, ml.BOOSTED_TREES)
 
 
-@query("select_model")
+def _results_of(d):
+    """Metrics of two deterministic scores on the last two dates, one of them told a part of the truth."""
+    features = stored_features_of(d)
+    _, validation, test = ev.temporal_split(features)
+    results = None
+    for split, frame in (("validation", validation), ("test", test)):
+        base = with_score(frame)
+        told = base.withColumn("churn_probability", F.least(F.lit(1.0), F.col("churn_probability") + F.col("churn_label") * 0.25))
+        for model, role, scored in ((ml.LOGISTIC, "baseline", base), (ml.BOOSTED_TREES, "challenger", told)):
+            row = ev.evaluate_scores(scored, 0.5).select(F.lit(model).alias("model"), F.lit(role).alias("role"), F.lit(split).alias("split"), "*")
+            results = row if results is None else results.unionByName(row)
+    return results
+
+
+_RESULTS = """
+held AS (
+    SELECT CASE WHEN place = 1 THEN 'test' ELSE 'validation' END AS split, account_id, churn_label, churn_probability
+    FROM (SELECT *, dense_rank() OVER (ORDER BY prediction_date DESC) AS place FROM scored) AS placed WHERE place <= 2
+),
+judged AS (
+    SELECT split, 'logistic_regression' AS model, 'baseline' AS role, account_id, churn_label, churn_probability AS p FROM held
+    UNION ALL
+    SELECT split, 'boosted_trees', 'challenger', account_id, churn_label,
+           least(1.0::DOUBLE, churn_probability + churn_label * 0.25::DOUBLE) FROM held
+),
+steps AS (
+    SELECT model, role, split, hits, sum(hits) OVER up AS running_hits, sum(level_rows) OVER up AS running_rows
+    FROM (SELECT model, role, split, p, sum(churn_label) AS hits, count(*) AS level_rows FROM judged GROUP BY ALL) AS levels
+    WINDOW up AS (PARTITION BY model, split ORDER BY p DESC)
+),
+precisions AS (
+    SELECT model, role, split, coalesce(sum(CAST(hits AS DOUBLE) * running_hits / running_rows) / nullif(sum(hits), 0), 0) AS pr_auc
+    FROM steps GROUP BY ALL
+),
+lifts AS (
+    SELECT model, split, coalesce(
+        (CAST(sum(churn_label) FILTER (place <= ceil(everyone * 0.1::DOUBLE)) AS DOUBLE) / max(ceil(everyone * 0.1::DOUBLE)))
+            / nullif(CAST(sum(churn_label) AS DOUBLE) / max(everyone), 0), 0) AS top_decile_lift
+    FROM (SELECT *, row_number() OVER (PARTITION BY model, split ORDER BY p DESC, account_id) AS place,
+                 count(*) OVER (PARTITION BY model, split) AS everyone FROM judged) AS placed
+    GROUP BY ALL
+),
+results AS (SELECT * FROM precisions JOIN lifts USING (model, split))"""
+
+
+@query(
+    "select_model",
+    """SELECT (SELECT model FROM results WHERE split = 'validation' ORDER BY top_decile_lift DESC, pr_auc DESC, model DESC LIMIT 1)
+                  AS selected_model,
+              round(gain, 9) AS relative_pr_gain, round(lift, 9) AS challenger_lift, lift >= 2 OR gain >= 0.2 AS target_met
+       FROM (SELECT coalesce((max(pr_auc) FILTER (role = 'challenger') - max(pr_auc) FILTER (role = 'baseline'))
+                        / nullif(max(pr_auc) FILTER (role = 'baseline'), 0), 0) AS gain,
+                    max(top_decile_lift) FILTER (role = 'challenger') AS lift
+             FROM results WHERE split = 'test') AS compared""",
+    chain(_TRAINING_SCORED, _RESULTS),
+)
+def _(d):
+    """The choice between two scored models by validation lift and precision."""
+    return rounded(ev.select_model(_results_of(d)), "relative_pr_gain", "challenger_lift")
+
+
+@query("trained_choice")
 def _(d):
     """Both models trained, compared and chosen on validation."""
     return ml.train_and_compare(stored_features_of(d))[2]
@@ -255,25 +337,26 @@ def _(d):
 @query(
     "training_artifacts",
     """SELECT 'periods' AS artifact, CASE WHEN place = 1 THEN 'test' WHEN place = 2 THEN 'validation' ELSE 'train' END
-              AS name, count(*) AS size
+              || ' from ' || min(prediction_date) || ' to ' || max(prediction_date) AS name, count(*) AS size
        FROM (SELECT prediction_date, dense_rank() OVER (ORDER BY prediction_date DESC) AS place FROM spine) AS placed
-       GROUP BY ALL
+       GROUP BY least(place, 3), CASE WHEN place = 1 THEN 'test' WHEN place = 2 THEN 'validation' ELSE 'train' END
        UNION ALL SELECT 'importance', unnest(["""
     + ", ".join(f"'{c}'" for c in FEATURE_COLUMNS)
-    + """]), 2
-       UNION ALL SELECT 'scores', 'test', count(*) FROM spine
-       WHERE prediction_date = (SELECT max(prediction_date) FROM spine)""",
+    + """]), 20
+       UNION ALL SELECT 'scores', account_id, count(*) FROM spine
+       WHERE prediction_date = (SELECT max(prediction_date) FROM spine) GROUP BY account_id""",
     SPINE,
 )
 def _(d):
     """A stored training run read back, and test rows scored by its saved model."""
     folder, features = new_folder(d.spark, "training"), stored_features_of(d)
-    train_and_store(features, folder, "run-1", tree_iterations=2, repeats=2)
+    train_and_store(features, folder, "run-1")
     scored = stored_scorer(d.spark, folder, "run-1")(ev.temporal_split(features)[2])
+    period = F.concat_ws(" ", "split", F.lit("from"), F.col("first_date").cast("string"), F.lit("to"), F.col("last_date").cast("string"))
     parts = [
-        d.spark.read.parquet(f"{folder}/periods/run-1").select(F.lit("periods"), "split", "row_count"),
+        d.spark.read.parquet(f"{folder}/periods/run-1").select(F.lit("periods"), period, "row_count"),
         d.spark.read.parquet(f"{folder}/importance/run-1").select(F.lit("importance"), "feature", "repeats"),
-        scored.where(_is_probability("churn_probability")).agg(F.count("*").alias("n")).select(F.lit("scores"), F.lit("test"), "n"),
+        scored.where(_is_probability("churn_probability")).groupBy("account_id").agg(F.count("*").alias("n")).select(F.lit("scores"), "account_id", "n"),
     ]
     return parts[0].union(parts[1]).union(parts[2]).toDF("artifact", "name", "size")
 
@@ -290,11 +373,35 @@ def _(d):
     return found.select("feature", "repeats", F.coalesce(sound, F.lit(False)).alias("measured"))
 
 
-@query("run_metrics_table")
+@query(
+    "shuffled_partners",
+    """SELECT repeat, count(*) AS row_count, count(*) AS partners, CAST(0 AS BIGINT) AS lowest, count(*) - 1 AS highest
+       FROM spine, (SELECT unnest(range(1, 21)) AS repeat) AS repeats
+       WHERE prediction_date = (SELECT max(prediction_date) FROM spine) GROUP BY repeat""",
+    SPINE,
+)
+def _(d):
+    """Each of twenty repeats pairs all test rows by a permutation."""
+    _, _, test = ev.temporal_split(stored_features_of(d))
+    partnered = ml.shuffled_partners(test.select("account_id", "prediction_date"), 20)
+    return partnered.groupBy(F.col("repeat").cast("bigint").alias("repeat")).agg(
+        F.count("*").alias("row_count"),
+        F.countDistinct("partner").alias("partners"),
+        F.min("partner").alias("lowest"),
+        F.max("partner").alias("highest"),
+    )
+
+
+@query(
+    "run_metrics_table",
+    """SELECT 'run-1' AS run_id, model, split, unnest(['pr_auc', 'top_decile_lift']) AS metric,
+              round(unnest([pr_auc, top_decile_lift]), 9) AS value FROM results""",
+    chain(_TRAINING_SCORED, _RESULTS),
+)
 def _(d):
-    train, validation, test = ev.temporal_split(stored_features_of(d))
-    results = ml.measure(ml.fit(ml.LOGISTIC, train), ml.LOGISTIC, validation, test)
-    return ml.run_metrics_table(results, "run-1")
+    """Metrics of two scored models in long form."""
+    results = _results_of(d).select("model", "split", "pr_auc", "top_decile_lift")
+    return rounded(ml.run_metrics_table(results, "run-1"), "value")
 
 
 # --- scoring ------------------------------------------------------------------------

@@ -52,16 +52,28 @@ def _(d):
 
 @query(
     "churn_reconciliation",
-    """SELECT 'nrr_identity' AS metric, month FROM revenue_kept
+    """SELECT 'nrr_identity' AS metric, month FROM bent_kept
        WHERE abs(ending_mrr - (starting_mrr - churned_mrr - contraction_mrr + expansion_mrr)) > 0.01
        UNION ALL
-       SELECT 'churn_reconciliation', k.month FROM revenue_kept AS k JOIN revenue_lost AS l ON l.month = k.month
+       SELECT 'churn_reconciliation', k.month FROM bent_kept AS k JOIN revenue_lost AS l ON l.month = k.month
        WHERE abs(k.starting_mrr - l.starting_mrr) > 0.01 OR abs(k.churned_mrr - l.churned_mrr) > 0.01""",
-    REVENUE,
+    chain(
+        REVENUE,
+        """bent_kept AS (SELECT * REPLACE (
+               ending_mrr + CASE WHEN month(month) % 3 = 1 THEN 5 ELSE 0 END AS ending_mrr,
+               starting_mrr + CASE WHEN month(month) % 4 = 2 THEN 7 ELSE 0 END AS starting_mrr) FROM revenue_kept)""",
+    ),
 )
 def _(d):
+    """Revenue retention bent in known months, against revenue churn as it is."""
     revenue = revenue_of(d)
-    return rev.churn_reconciliation(rev.revenue_retention(revenue), rev.revenue_churn(revenue))
+    bent = rev.revenue_retention(revenue).withColumns(
+        {
+            "ending_mrr": F.col("ending_mrr") + F.when(F.month("month") % 3 == 1, 5).otherwise(0),
+            "starting_mrr": F.col("starting_mrr") + F.when(F.month("month") % 4 == 2, 7).otherwise(0),
+        }
+    )
+    return rev.churn_reconciliation(bent, rev.revenue_churn(revenue))
 
 
 @query("retention_segments", "SELECT * FROM segments", chain(DIM_ACCOUNT, SEGMENTS))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -12,10 +13,11 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StandardScaler,
     StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subsight.functions.ranking import running_totals
@@ -198,6 +200,84 @@ def run_metrics_table(results: DataFrame, run_id: str) -> DataFrame:
     )
 
 
+def logistic_gradient(model: PipelineModel, train: DataFrame) -> DataFrame:
+    """Gradient of the penalised balanced loss at a fitted logistic model.
+
+    One row per coefficient: ``input`` (column, or column=category) and
+    ``gradient``, and one for the intercept.  All are near zero at the optimum
+    and nowhere else, the loss being strictly convex, so this tells a fitted
+    model from any other.  Sums run over the training rows in one aggregation.
+    """
+    fitted = model.stages[-1]
+    indexer = next(stage for stage in model.stages if isinstance(stage, StringIndexerModel))
+    names = list(NUMERIC_FEATURES)
+    for column, labels in zip(CATEGORICAL_FEATURES, indexer.labelsArray):
+        names += [f"{column}={label}" for label in labels]
+        names.append(f"{column}=")  # neither of them
+    weighted = with_balanced_weights(train.select(*FEATURE_COLUMNS, LABEL))
+    error = F.col("class_weight") * (vector_to_array("probability")[1] - F.col(LABEL))
+    scored = model.transform(weighted).select(
+        error.alias("error"), "class_weight", F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x")
+    )
+    summed = (
+        scored.select("error", "class_weight", F.posexplode("x").alias("place", "value"))
+        .groupBy("place")
+        .agg((F.sum(F.col("error") * F.col("value")) / F.sum("class_weight")).alias("slope"))
+    )
+    held = [*(float(c) for c in fitted.coefficients), 0.0]
+    size = len(held) - 1
+    if len(names) < size:
+        raise ValueError("more coefficients than inputs")
+    penalty = fitted.getOrDefault("regParam")
+    rows = [(i, [*names[:size], "intercept"][i], penalty * held[i]) for i in range(size + 1)]
+    parts = train.sparkSession.createDataFrame(rows, "place int, input string, shrinkage double")
+    return parts.join(summed, "place").select("input", (F.col("slope") + F.col("shrinkage")).alias("gradient"))
+
+
+#: Steps a walk back into the range may take.  The square holds fewer than
+#: 2 * sqrt(n) + 2 surplus places and a walk meets each at most once; for large
+#: n the chance of this many in a row is below 1e-70.
+_WALK = 64
+
+
+def keyed_permutation(position: Column, total: int, *key: Column, rounds: int = 6) -> Column:
+    """Place of ``position`` (from 0) in a permutation of ``total`` places chosen by ``key``.
+
+    A Feistel network on the two digits of the position in base ceil(sqrt(total))
+    permutes the square of that base; places beyond the total walk on until they
+    fall below it.  Every row computes its own place: no sort, no shuffle.
+    """
+    side = F.lit(max(isqrt(max(total, 1) - 1) + 1, 1)).cast("bigint")
+
+    def spread(place: Column) -> Column:
+        high, low = F.floor(place / side).cast("bigint"), F.pmod(place, side)
+        for number in range(rounds):
+            high, low = low, F.pmod(high + F.pmod(F.xxhash64(*key, F.lit(number), low), side), side)
+        return high * side + low
+
+    once = spread(position)
+    walked = F.aggregate(
+        F.sequence(F.lit(1), F.lit(_WALK)), once, lambda place, _: F.when(place < total, place).otherwise(spread(place))
+    )
+    return F.when(once < total, once).otherwise(walked)
+
+
+def shuffled_partners(rows: DataFrame, repeats: int, seed: int = 42) -> DataFrame:
+    """``rows`` once per repeat with a dense ``position`` and the ``partner`` to borrow from.
+
+    Positions (from 0) follow a hash of account and date; in each repeat the
+    partners are an independent permutation of the positions.
+    """
+    counted = rows.withColumn("one", F.lit(1).cast("bigint"))
+    shuffle_key = F.xxhash64(F.lit(seed), F.col("account_id"), F.col("prediction_date"))
+    placed = running_totals(counted, [shuffle_key, F.col("account_id")], {"position": "one"}).drop("one")
+    repeated = placed.withColumn("position", F.col("position") - 1).withColumn(
+        "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats)))
+    )
+    partner = keyed_permutation(F.col("position"), rows.count(), F.lit(seed), F.col("repeat"))
+    return repeated.withColumn("partner", partner)
+
+
 def permutation_importance(
     model: PipelineModel,
     held_out: DataFrame,
@@ -207,27 +287,14 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean and deviation of the loss in average precision per shuffled column.
 
-    All shuffles are one DataFrame keyed by (feature, repeat).  Rows get a
-    random global position; in each repeat a row borrows the column value of
-    the row a random distance further on, which is a permutation and costs one
-    equi-join for all columns.  The repeats are rotations of one random order,
-    so their deviation is not quite that of independent shuffles.
+    All shuffles are one DataFrame keyed by (feature, repeat).  In each repeat a
+    row borrows the column value of its partner under an independent
+    permutation, which costs one equi-join for all columns and repeats.
     """
-    rows = held_out.select("account_id", "prediction_date", *FEATURE_COLUMNS, LABEL).withColumn(
-        "one", F.lit(1).cast("bigint")
-    )
-    shuffle_key = F.xxhash64(F.lit(seed), F.col("account_id"), F.col("prediction_date"))
-    placed = running_totals(rows, [shuffle_key, F.col("account_id")], {"position": "one"}).drop("one")
-    total = rows.agg(F.count("*")).scalar()
-    distance = 1 + F.pmod(F.xxhash64(F.lit(seed), F.col("repeat")), F.greatest(total - 1, F.lit(1)))
-    partner = F.pmod(F.col("position") - 1 + distance, total) + 1
-    donors = placed.select(F.col("position").alias("partner"), F.struct(*FEATURE_COLUMNS).alias("donor"))
-    shuffled = (
-        placed.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-        .withColumn("partner", partner)
-        .join(donors, "partner")
-        .withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
-    )
+    rows = held_out.select("account_id", "prediction_date", *FEATURE_COLUMNS, LABEL)
+    partnered = shuffled_partners(rows, repeats, seed)
+    donors = partnered.where("repeat = 1").select(F.col("position").alias("partner"), F.struct(*FEATURE_COLUMNS).alias("donor"))
+    shuffled = partnered.join(donors, "partner").withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
     swapped = shuffled.select(
         "feature",
         "repeat",

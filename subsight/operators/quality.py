@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from subsight.functions.expr import latest_by, month_start
 from subsight.schemas import ADOPTION_FEATURES, PLAN_PRICES, PLANS
+from subsight.session import stable
 
 
 class QualityGateError(RuntimeError):
@@ -328,45 +329,63 @@ def event_validity(
 
     The share of activity after workspace creation is a rule about the whole
     table and reports the id ``all``.
+
+    One pass over events: each becomes a narrow row with the problems of its
+    own, which is stored; what concerns accounts and the whole is summed from
+    there.
     """
-    owner = users.select("user_id", F.col("account_id").alias("owner"), "created_at", F.lit(True).alias("known"))
     at = F.col("event_timestamp")
+    # a user normally has one account; several are tried in turn, so events do not multiply
+    owners = users.groupBy("user_id").agg(F.collect_list(F.struct("account_id", "created_at")).alias("owners"))
     cancelled = subscriptions.groupBy("account_id").agg(F.min("cancellation_date").alias("cancelled_on"))
 
-    per_account = events.groupBy("account_id").agg(
-        F.count(F.when(F.col("event_name") == "workspace_created", F.lit(1))).alias("workspaces"),
-        F.min(F.when(F.col("event_name") == "workspace_created", at)).alias("workspace_at"),
-        F.min(F.when(F.col("event_name") == "report_created", at)).alias("report_at"),
-        F.min(F.when(F.col("event_name") == "report_exported", at)).alias("export_at"),
+    def of_owner(owner: Column) -> Column:
+        return F.array(
+            F.when(owner["account_id"] != F.col("account_id"), F.lit("user of another account")),
+            F.when(at < owner["created_at"], F.lit("event before user creation")),
+        )
+
+    known = F.flatten(F.transform("owners", of_owner))
+    problems = F.concat(
+        F.coalesce(known, F.array(F.lit("unknown user"))),
+        F.array(F.when(at >= F.col("cancelled_on").cast("timestamp"), F.lit("event on or after cancellation"))),
     )
-    row_rules = {
-        "unknown user": F.col("known").isNull(),
-        "user of another account": F.col("owner") != F.col("account_id"),
-        "event before user creation": at < F.col("created_at"),
-        "event on or after cancellation": at >= F.col("cancelled_on").cast("timestamp"),
-    }
-    broken = F.array_compact(F.array(*[F.when(failed, F.lit(name)) for name, failed in row_rules.items()]))
-    rows = (
-        events.select("event_id", "account_id", "user_id", "event_timestamp")
-        .join(owner, "user_id", "left")
+    judged = stable(
+        events.select("event_id", "account_id", "user_id", "event_name", "event_timestamp")
+        .join(owners, "user_id", "left")
         .join(cancelled, "account_id", "left")
-        .select(F.col("event_id").alias("id"), F.explode(broken).alias("problem"))
-        .select("problem", "id")
+        .select("event_id", "account_id", "event_name", "event_timestamp", F.array_compact(problems).alias("broken"))
+    )
+    rows = judged.select(F.explode("broken").alias("problem"), F.col("event_id").alias("id"))
+
+    def first(name: str) -> Column:
+        return F.min(F.when(F.col("event_name") == name, at))
+
+    per_account = judged.groupBy("account_id").agg(
+        F.count(F.when(F.col("event_name") == "workspace_created", F.lit(1))).alias("workspaces"),
+        first("workspace_created").alias("workspace_at"),
+        first("report_created").alias("report_at"),
+        first("report_exported").alias("export_at"),
+    )
+    late_report = ~F.coalesce(F.col("report_at") < F.col("export_at"), F.lit(False))
+    account_rules = F.array_compact(
+        F.array(
+            F.when(F.col("workspaces") > 1, F.lit("several workspaces")),
+            F.when(F.col("export_at").isNotNull() & late_report, F.lit("export before any report")),
+        )
     )
-    workspaces = per_account.where("workspaces > 1").select(F.lit("several workspaces").alias("problem"), F.col("account_id").alias("id"))
-    exports = per_account.where(
-        F.col("export_at").isNotNull() & ~F.coalesce(F.col("report_at") < F.col("export_at"), F.lit(False))
-    ).select(F.lit("export before any report").alias("problem"), F.col("account_id").alias("id"))
+    accounts = per_account.select(F.explode(account_rules).alias("problem"), F.col("account_id").alias("id"))
 
-    others = events.where("event_name <> 'workspace_created'").select("account_id", "event_timestamp")
     after = F.coalesce(at > F.col("workspace_at"), F.lit(False)).cast("int")
     share = (
-        others.join(per_account.select("account_id", "workspace_at"), "account_id", "left")
+        judged.where("event_name <> 'workspace_created'")
+        .select("account_id", "event_timestamp")
+        .join(per_account.select("account_id", "workspace_at"), "account_id", "left")
         .agg(F.avg(after).alias("share"))
         .where(F.col("share") < min_share_after_workspace)
         .select(F.lit("too much activity before workspace").alias("problem"), F.lit("all").alias("id"))
     )
-    return rows.unionByName(workspaces).unionByName(exports).unionByName(share)
+    return rows.unionByName(accounts).unionByName(share)
 
 
 def seat_and_status_validity(
