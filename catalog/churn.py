@@ -267,6 +267,27 @@ def _(d):
     return _test_rows(d, ml.BOOSTED_TREES)
 
 
+@query(
+    "boosted_tree_leaves",
+    """SELECT tree, (SELECT count(*) FROM train) AS row_count, TRUE AS at_most_15_leaves, TRUE AS at_least_8_rows
+       FROM (SELECT unnest(range(200)) AS tree) AS trees""",
+    chain(_TRAINING, _TRAINING_ROWS),
+)
+def _(d):
+    """Training rows by tree over all its leaves, and the two bounds on leaves."""
+    train, _, _ = ev.temporal_split(stored_features_of(d))
+    model = ml.fit(ml.BOOSTED_TREES, train)
+    prepared = train
+    for stage in model.stages[:-1]:
+        prepared = stage.transform(prepared)
+    leaves = model.stages[-1].leaf_rows(prepared)
+    return leaves.groupBy("tree").agg(
+        F.sum("row_count").alias("row_count"),
+        (F.count("*") <= 15).alias("at_most_15_leaves"),
+        (F.min("row_count") >= 8).alias("at_least_8_rows"),
+    )
+
+
 def _results_of(d):
     """Metrics of two deterministic scores on the last two dates, one of them told a part of the truth."""
     features = stored_features_of(d)
@@ -328,12 +349,6 @@ def _(d):
     return rounded(ev.select_model(_results_of(d)), "relative_pr_gain", "challenger_lift")
 
 
-@query("trained_choice")
-def _(d):
-    """Both models trained, compared and chosen on validation."""
-    return ml.train_and_compare(stored_features_of(d))[2]
-
-
 @query(
     "training_artifacts",
     """SELECT 'periods' AS artifact, CASE WHEN place = 1 THEN 'test' WHEN place = 2 THEN 'validation' ELSE 'train' END
