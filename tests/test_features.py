@@ -293,6 +293,32 @@ def test_models_learn_and_are_compared(learnable):
     assert by_name["days_since_last_activity"] > 0.2 > abs(by_name["company_size"])
 
 
+@pytest.mark.parametrize("total", [1, 2, 3, 5, 16, 17, 1000])
+def test_keyed_permutations(spark, total):
+    placed = spark.range(total).crossJoin(spark.range(30).withColumnRenamed("id", "key"))
+    partner = ml.keyed_permutation(F.col("id"), total, F.lit(7), F.col("key"))
+    found = {}
+    for r in placed.select("id", "key", partner.alias("partner")).collect():
+        found.setdefault(r["key"], {})[r["id"]] = r["partner"]
+    for places in found.values():
+        assert sorted(places.values()) == list(range(total))
+    if total == 1000:
+        # independent shuffles: about one fixed place each, shifts of all sizes, no two alike
+        fixed = [sum(i == j for i, j in places.items()) for places in found.values()]
+        assert sum(fixed) < 3 * len(found)
+        assert all(len({(j - i) % total for i, j in places.items()}) > 550 for places in found.values())
+        assert sum(found[0][i] == found[1][i] for i in range(total)) < 10
+
+
+def test_logistic_gradient_tells_a_fitted_model(learnable):
+    train = learnable.where("prediction_date < '2024-03-01'")
+    fitted = ml.fit(ml.LOGISTIC, train)
+    slopes = {r["input"]: r["gradient"] for r in ml.logistic_gradient(fitted, train).collect()}
+    assert max(map(abs, slopes.values())) < 1e-4 and {"intercept", "plan=Starter", "company_size"} <= set(slopes)
+    other = ml.fit(ml.LOGISTIC, train, max_iter=1)
+    assert max(abs(r["gradient"]) for r in ml.logistic_gradient(other, train).collect()) > 1e-3
+
+
 def test_balanced_weights(spark):
     frame = spark.createDataFrame([(0,), (0,), (0,), (1,)], "churn_label int")
     assert rows(ml.with_balanced_weights(frame).distinct()) == [(0, 4 / 6), (1, 2.0)]

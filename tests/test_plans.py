@@ -104,6 +104,28 @@ def test_daily_run_and_models(spark, build, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/train").count() == 1
 
 
+def test_rules_are_counted_by_the_write(spark, build, tmp_path):
+    accounts = build.accounts(dict(account_id="A"), dict(account_id=None), dict(account_id="B", plan="Odd"))
+    rules = {"m": {"missing": F.col("account_id").isNull(), "odd": ~F.col("plan").isin("Starter")}, "other": {"never": F.lit(True)}}
+    store = marts.MeasuredStore(spark, str(tmp_path), rules)
+    ran = spark._jsparkSession.sharedState().statusStore().executionsCount
+    before = ran()
+    assert rows(store("m", accounts), "account_id") == [("A",), ("B",), (None,)]
+    assert ran() - before == 2  # the write and this read
+    store("unruled", accounts)
+    assert store.violations == {"missing": 1, "odd": 1}
+    counted = {r["check_name"]: r["violations"] for r in store.counted().collect()}
+    assert counted == {r["check_name"]: r["violations"] for r in qa.count_rules(accounts, rules["m"]).collect()}
+
+
+def test_rules_broken_in_marts_block_scoring(build, tmp_path):
+    staged = small_tables(build)
+    odd = marts.Staged(staged.accounts, staged.users, staged.subscriptions, staged.invoices, staged.events.withColumn("event_name", F.lit("odd")))
+    with pytest.raises(qa.QualityGateError, match="accepted_events_event_name"):
+        run_daily("2024-02-20", odd, str(tmp_path), constant_score)
+    assert not (tmp_path / "scores").exists()
+
+
 def test_failed_check_blocks_scoring(build, tmp_path):
     staged = small_tables(build)
     bad = {"always": staged.accounts}

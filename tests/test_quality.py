@@ -137,3 +137,23 @@ def test_metric_contract(build):
     ]
     assert qa.activation_consistency(activation).count() == 0
     assert qa.activation_consistency(early).count() == 2
+
+
+def test_event_rules_take_one_scan(spark, build, tmp_path):
+    build.events(("A", "U", "user_login", "2024-01-02 00:00:00"), ("A", "V", "report_exported", "2024-01-03 00:00:00")).write.parquet(
+        f"{tmp_path}/events"
+    )
+    events = spark.read.parquet(f"{tmp_path}/events")
+    users = build.users(dict(user_id="U", account_id="A"), dict(user_id="U", account_id="B"))
+    before = spark._jsparkSession.sharedState().statusStore().executionsCount()
+    found = qa.event_validity(events, users, build.subscriptions(dict(account_id="A", cancellation_date=day("2024-01-03"))))
+    text = found._jdf.queryExecution().toString()
+    assert "FileScan parquet" not in text.split("== Physical Plan ==")[1]  # the stored rows are read instead
+    assert spark._jsparkSession.sharedState().statusStore().executionsCount() - before <= 1
+    assert rows(found) == [
+        ("event on or after cancellation", "E0001"),
+        ("export before any report", "A"),
+        ("too much activity before workspace", "all"),
+        ("unknown user", "E0001"),
+        ("user of another account", "E0000"),
+    ]
