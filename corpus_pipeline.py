@@ -21,8 +21,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, at 80 of 100 shingles, stays."""
-    return drop_near_duplicates(docs, rule=NearDup(percent=80))
+    """One document of each group of near-duplicates, at 85 of 100 shingles, stays."""
+    return drop_near_duplicates(docs, rule=NearDup(percent=85))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
