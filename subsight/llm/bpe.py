@@ -11,7 +11,9 @@ interact and a rank that is lowest over all is lowest in each that has it.
 Within one pre-token the leftmost of several pairs comes first.  A merge may
 create a pair of lower rank, which must then come before the other pairs of
 the same bucket; ranks for which a vocabulary allows that are known from its
-splits, and only one pair per pre-token is merged at a time for them.
+splits, and only one pair per pre-token is merged at a time for them.  The
+others wait in a heap per pre-token, so each is taken up once more and long
+pre-tokens take time in proportion to their length, but for a logarithm.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator, Sequence
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +128,7 @@ class Vocabulary:
     def _merge(self, symbol, before, after, text_of) -> None:
         """Merge in place; a symbol that was taken by its left neighbour becomes -1."""
         buckets: dict[int, list[np.ndarray]] = {}
+        waiting: dict[int, dict[int, list[int]]] = {}
         queue = RankBitmap(self.size)
 
         def put(at: np.ndarray, ranks: np.ndarray) -> None:
@@ -147,7 +151,10 @@ class Vocabulary:
         put(left, self.lookup(symbol[left], symbol[left + 1]))
         while (rank := queue.first()) >= 0:
             queue.remove(rank)
-            held = buckets.pop(rank)
+            held = buckets.pop(rank, [])
+            heaps = waiting.get(rank)
+            if heaps:
+                held = _leftmost_waiting(heaps, held, text_of)
             at = np.sort(held[0] if len(held) == 1 else np.concatenate(held))
             at = at[symbol[at] >= 0]
             right = after[at]
@@ -158,7 +165,11 @@ class Vocabulary:
                 first = np.ones(len(at), bool)
                 first[1:] = text_of[at[1:]] != text_of[at[:-1]]
                 if not first.all():
-                    buckets[rank] = [at[~first]]
+                    heaps = waiting.setdefault(rank, {})
+                    rest = at[~first]
+                    for text, place in zip(text_of[rest].tolist(), rest.tolist()):
+                        heappush(heaps.setdefault(text, []), place)
+                if waiting.get(rank):
                     queue.add(rank)
                 at, right = at[first], right[first]
             elif len(at) > 1:
@@ -181,6 +192,24 @@ class Vocabulary:
         return b"".join([self.bytes_of[i] for i in ids])
 
 
+def _leftmost_waiting(
+    heaps: dict[int, list[int]], held: list[np.ndarray], text_of: np.ndarray
+) -> list[np.ndarray]:
+    """Of pre-tokens with waiting places the leftmost, with new places of all others."""
+    new = np.concatenate(held) if held else np.zeros(0, np.int64)
+    alone = np.ones(len(new), bool)
+    for n, (text, place) in enumerate(zip(text_of[new].tolist(), new.tolist())):
+        if text in heaps:
+            heappush(heaps[text], place)
+            alone[n] = False
+    tops = []
+    for text in list(heaps):
+        tops.append(heappop(heaps[text]))
+        if not heaps[text]:
+            del heaps[text]
+    return [new[alone], np.array(tops, np.int64)]
+
+
 def _leftmost(at: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of chains of overlapping pairs (a a a) the first, third, ... pair."""
     chained = np.zeros(len(at), bool)
@@ -197,8 +226,8 @@ class Encoder:
     """Encodes texts; results of pre-tokens are kept within a byte bound."""
 
     #: Bytes of distinct pre-tokens encoded together, and kept for later texts.
-    BATCH_BYTES = 4 << 20
-    KEPT_BYTES = 24 << 20
+    BATCH_BYTES = 1 << 20
+    KEPT_BYTES = 6 << 20
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         import regex

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import pytest
 from llm_rows import by_id
@@ -91,3 +92,16 @@ def test_kept_results_are_bounded(reference):
 
 def test_empty_table(documents):
     assert encode_documents(documents([]), *tokenizer()).count() == 0
+
+
+def test_long_pre_tokens_take_time_in_proportion():
+    """Ranks whose merges make lower ones: each waiting place is taken up once."""
+    ranks, _ = tokenizer()
+    vocabulary, chance = Vocabulary.read(ranks), random.Random(2)
+    word = "".join(chance.choice("ab") for _ in range(32_000)).encode()
+    took = []
+    for part in (word[:8000], word):
+        began = time.perf_counter()
+        vocabulary.encode_all([part])
+        took.append(time.perf_counter() - began)
+    assert took[1] < 9 * took[0] + 0.3
