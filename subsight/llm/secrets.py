@@ -10,6 +10,7 @@ allow-list takes out what is random by design but no secret.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from math import log2
@@ -59,8 +60,12 @@ ALLOWED = (
     r"(?i).*(example|placeholder|changeme|xxxxxx|redacted).*",
     r"(?i)[0a]?123456789(abcdef.*|0.*)?",
 )
-#: What may stand right before a span that is a checksum or a content address.
-ALLOWED_BEFORE = (r"(?i)(sha-?(1|256|384|512)|md5|integrity|etag)[\"']?[:=-]\s*[\"']?$", r"https?://\S*$")
+#: What may stand right before a span that is a checksum; any blanks count as one space.
+ALLOWED_BEFORE = (r"(?i)(sha-?(1|256|384|512)|md5|integrity|etag)[\"']?[:=-] ?[\"']?$",)
+#: A span that begins inside the group of one of these is part of an address.
+ALLOWED_INSIDE = (r"https?://(\S*)",)
+#: Characters before a span that ``ALLOWED_BEFORE`` is matched on; its names are shorter.
+_LOOK_BACK = 40
 
 
 @dataclass(frozen=True)
@@ -70,6 +75,7 @@ class Scanner:
     classes: Sequence[EntropyClass] = ENTROPY_CLASSES
     allowed: Sequence[str] = ALLOWED
     allowed_before: Sequence[str] = ALLOWED_BEFORE
+    allowed_inside: Sequence[str] = ALLOWED_INSIDE
     _runs: list = field(default_factory=list)
 
     def __post_init__(self):
@@ -78,6 +84,7 @@ class Scanner:
             self._runs.append((c, run, [re.compile(n) for n in c.needs]))
         object.__setattr__(self, "_allowed", [re.compile(a) for a in self.allowed])
         object.__setattr__(self, "_before", [re.compile(a) for a in self.allowed_before])
+        object.__setattr__(self, "_inside", [re.compile(a) for a in self.allowed_inside])
 
     def patterns(self, text: str) -> list[tuple[int, int, int]]:
         """(start, order of the kind, end) of the credential patterns."""
@@ -92,6 +99,7 @@ class Scanner:
 
     def entropy(self, text: str) -> list[tuple[int, int, int]]:
         found = []
+        inside = sorted(m.span(1) for p in self._inside for m in p.finditer(text))
         for order, (kind, run, needs) in enumerate(self._runs, 3):
             for m in run.finditer(text):
                 candidate = m.group()
@@ -99,7 +107,10 @@ class Scanner:
                     continue
                 if any(a.fullmatch(candidate) for a in self._allowed):
                     continue
-                before = text[max(0, m.start() - 200) : m.start()]
+                at = bisect_right(inside, (m.start(), len(text))) - 1
+                if at >= 0 and m.start() <= inside[at][1]:
+                    continue
+                before = _before(text, m.start())
                 if any(b.search(before) for b in self._before):
                     continue
                 for start, end in dense_windows(candidate, kind.window, kind.limit):
@@ -120,6 +131,15 @@ class Scanner:
         return ["assign", "access", "hex", *[c.kind for c in self.classes]]
 
 
+def _before(text: str, start: int) -> str:
+    """What stands before a span, blanks next to it or to its quote taken as one space."""
+    quote = text[start - 1] if start and text[start - 1] in "\"'" else ""
+    upto = end = start - len(quote)
+    while upto and text[upto - 1].isspace():
+        upto -= 1
+    return text[max(0, upto - _LOOK_BACK) : upto] + (" " if upto < end else "") + quote
+
+
 def dense_windows(candidate: str, window: int, limit: float) -> Iterator[tuple[int, int]]:
     """Merged windows whose entropy is ``limit`` or more.
 

@@ -87,3 +87,13 @@ def test_empty_table(documents):
 
 def test_overlapping_spans_are_masked_once():
     assert Scanner().spans("token=" + "0a1b" * 8)
+
+
+@pytest.mark.parametrize("size", [3, 150, 500, 5000])
+def test_allow_list_does_not_depend_on_distance(size):
+    key = "q7Zp0LxW9vKd3TsRf8Yb2Nm5"
+    scanner = Scanner()
+    assert scanner.entropy(f"see https://host/{'a,' * size}{key} now") == []
+    assert scanner.entropy(f'sha256:{" " * size}"{key}') == []
+    assert [s for s, _, _ in scanner.entropy(f"https://host/{'a,' * size} {key}")] == [14 + 2 * size]
+    assert len(scanner.entropy(f"sha256: is{' ' * size}{key}")) == 1
