@@ -11,19 +11,19 @@ letters, is the document's share of each language.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subsight.llm.text import mix, pieces
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")
 _U = np.uint64
 UNDETERMINED = "und"
 
@@ -33,8 +33,10 @@ class CrfRule:
     """Bounds of the training sample and settings of the fit.
 
     ``per_label`` rows of each label, the ones with the smallest hash of their
-    id, of texts with ``max_chars`` characters at most, are brought to the
-    driver; at most ``max_labels`` labels are allowed.
+    id, are brought to the driver: texts of ``max_chars`` characters at most
+    first, then that many characters of longer ones.  Of more than
+    ``max_labels`` labels those with the most rows are learned, in the order of
+    labels on ties; the others are never predicted.
     """
 
     per_label: int = 150
@@ -158,21 +160,29 @@ def posteriors(
 
 def labelled_sample(docs: DataFrame, id_column: str, text: str, label: str, rule: CrfRule) -> list[tuple[str, str]]:
     """(label, text) of a bounded, repeatable sample; see :class:`CrfRule`."""
-    usable = docs.where(
-        F.col(label).isNotNull() & F.col(text).isNotNull() & F.length(text).between(1, rule.max_chars)
-    )
-    ranked = Window.partitionBy("label").orderBy("draw", "id")
-    keys = usable.select(
-        F.col(label).alias("label"), F.col(id_column).alias("id"), F.xxhash64(F.col(id_column)).alias("draw")
-    )
-    chosen = keys.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= rule.per_label)
-    ids = chosen.select("id", "label").limit(rule.per_label * rule.max_labels + 1).collect()
-    if len({r.label for r in ids}) > rule.max_labels:
-        raise ValueError(f"more than {rule.max_labels} labels; raise max_labels")
-    wanted = docs.sparkSession.createDataFrame([(r.id,) for r in ids], "_id bigint")
+    length = F.length(F.col(f"`{text}`"))
+    usable = docs.select(
+        F.col(f"`{id_column}`").cast("bigint").alias("id"),
+        F.col(f"`{label}`").cast("string").alias("label"),
+        F.substring(F.col(f"`{text}`").cast("string"), 1, rule.max_chars).alias("text"),
+        (length > rule.max_chars).alias("long"),
+    ).where("label IS NOT NULL AND length(text) > 0")
+    keys = usable.select("label", "id", "long", F.xxhash64("id").alias("draw"))
+    ranked = Window.partitionBy("label").orderBy("long", "draw", "id")
+    most = rule.per_label * rule.max_labels
+
+    def drawn(of: DataFrame) -> list:
+        chosen = of.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= rule.per_label)
+        return chosen.select("id", "label").limit(most + 1).collect()
+
+    rows = drawn(keys)
+    if len({r.label for r in rows}) > rule.max_labels or len(rows) > most:
+        counts = keys.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label")
+        rows = drawn(keys.where(F.col("label").isin([r.label for r in counts.limit(rule.max_labels).collect()])))
+    wanted = docs.sparkSession.createDataFrame(sorted({(r.id, r.label) for r in rows}, key=str), "id bigint, label string")
     # bounded by per_label * max_labels ids
-    rows = usable.join(F.broadcast(wanted), F.col(id_column) == F.col("_id")).select(id_column, label, text)
-    found = {(r[0], r[1], r[2]) for r in rows.collect()}
+    held = usable.join(F.broadcast(wanted), ["id", "label"]).select("id", "label", "text")
+    found = {(r[0], r[1], r[2]) for r in held.collect()}
     return [(r[1], r[2]) for r in sorted(found)]
 
 
@@ -262,7 +272,7 @@ def _batches(texts, index, draw, rule: CrfRule) -> Iterator[tuple[np.ndarray, np
 class Tagger:
     """Applies a model; emissions of words are kept within a bound."""
 
-    KEPT_WORDS = 400_000
+    KEPT_WORDS = 150_000
 
     def __init__(self, model: CrfModel):
         self.model = model
@@ -378,7 +388,8 @@ def keep_identified(docs: DataFrame, model: CrfModel, text: str = "text", least:
     """The rows, with all columns, whose language is determined.
 
     Texts without a letter go, and those whose best language has a share under
-    ``least``; mixed texts of known languages stay.
+    ``least``; mixed texts of known languages stay.  A model without labels
+    keeps every row.
     """
     columns = docs.columns
     at = columns.index(text)
@@ -389,7 +400,8 @@ def keep_identified(docs: DataFrame, model: CrfModel, text: str = "text", least:
         tagger = Tagger(own)
         for batch in batches:
             for piece in pieces(batch, text):
-                best = np.zeros(piece.num_rows)
+                # without labels nothing can be told, and all rows stay
+                best = np.full(piece.num_rows, 0.0 if own.labels else 1.0)
                 if own.labels:
                     post, letters, lengths = tagger.tag(piece.column(at).to_pylist())
                     full = np.flatnonzero(lengths)

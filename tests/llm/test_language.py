@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from llm_rows import by_id
+from pyspark.sql import functions as F
 
 from subsight.llm.language import CrfRule, document_languages, fit, fit_on, keep_identified, label_documents, posteriors
 
@@ -79,3 +80,28 @@ def test_without_labels_nothing_is_determined(documents):
     assert {r.lang_pred for r in document_languages(docs).collect()} == {"und"}
     assert document_languages(documents([])).count() == 0
     assert fit([("only", "one label")]).labels == ["only"]
+
+
+def test_signs_that_are_no_letters(spark, corpus):
+    rows = [(1, "² ½ ① Ⅳ"), (2, "½bazat"), (3, "٣")]
+    found = by_id(label_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), fit_on(corpus, RULE)))
+    assert found[1].lang_pred == found[3].lang_pred == "und" and found[2].lang_pred != "und"
+
+
+def test_many_labels_long_texts_and_clashing_names(spark):
+    draw = random.Random(1)
+    rows = [(i, text_of(draw, "aa"), "aa") for i in range(60)] + [(100 + i, text_of(draw, "bb", 400), "bb") for i in range(40)]
+    rows += [(200 + i, text_of(draw, "cc"), f"l{i:02d}") for i in range(90)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    for name in ("_id", "id", "label", "draw", "place", "long"):
+        table = table.withColumn(name, F.lit(5))
+    rule = CrfRule(per_label=20, max_labels=3, max_chars=500, epochs=1, words_per_batch=400, dimensions=1 << 12)
+    model = fit_on(table, rule)
+    # the two largest, and the first of those with one row that is not held out
+    assert model.labels[:2] == ["aa", "bb"] and len(model.labels) == 3
+    assert by_id(document_languages(table, rule)).keys() == {r[0] for r in rows}
+
+
+def test_nothing_labelled_keeps_all(spark):
+    table = spark.createDataFrame([(1, "x", None), (2, None, None)], "doc_id bigint, text string, lang string")
+    assert keep_identified(table, fit_on(table, RULE)).count() == 2
