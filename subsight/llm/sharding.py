@@ -196,22 +196,39 @@ def _piece_of(old: Column, at: Column, pieces: dict[int, list[tuple[int, int]]])
     return chosen.cast("int")
 
 
-def rewrite_affected(spark: SparkSession, root: str, plan: DataFrame, out: str, id_column: str = "doc_id") -> list[int]:
+def rewrite_affected(
+    spark: SparkSession, root: str, plan: DataFrame, out: str, id_column: str = "doc_id", text: str = "text"
+) -> list[int]:
     """Write the shards that change to ``out``, as ``shard=N`` folders.
 
     ``root`` holds the old files in ``shard=N`` folders; ``plan`` has the id,
-    ``old_shard`` and the new ``shard``.  Returns the rewritten shards; files
-    of all others in ``root`` stay valid and are not read.  Rows that share an
-    id stay together, in the lowest shard planned for it.
+    ``old_shard``, the new ``shard`` and, if it has one, ``text_crc32``.
+    Returns the rewritten shards; files of all others in ``root`` stay valid
+    and are not read.  Rows that share id, CRC of the text and old shard are
+    interchangeable: the first of them takes the first place planned for one,
+    and so on, so every shard gets as many rows as planned, also of rows
+    without an id.  Other columns stay, whatever they are called.
     """
     moved = plan.where("old_shard <> shard")
     affected = sorted(
         r[0] for r in moved.select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct().collect()
     )
-    target = plan.groupBy(F.col(id_column).alias("_id")).agg(F.min("shard").alias("_new"))
     rows = spark.read.parquet(root).where(F.col("shard").isin(affected))
-    rows = rows.join(target, F.col(id_column).eqNullSafe(F.col("_id"))).withColumn("shard", F.col("_new").cast("int"))
-    rows.drop("_id", "_new").hint("rebalance", "shard").write.partitionBy("shard").parquet(out)
+    kept = [c for c in rows.columns if c != "shard"]
+    given = {"i": F.col(f"`{id_column}`"), "old": F.col("shard")}
+    planned = {"i": F.col(f"`{id_column}`"), "old": F.col("old_shard")}
+    if "text_crc32" in plan.columns:
+        given["crc"] = F.crc32(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary"))
+        planned["crc"] = F.col("text_crc32")
+    alike = Window.partitionBy(*given)
+    # the columns of a row as one, so that no name can clash
+    held = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), *[c.alias(n) for n, c in given.items()])
+    held = held.withColumn("nth", F.row_number().over(alike.orderBy(F.hash("row"))))
+    target = plan.where(F.col("old_shard").isin(affected)).select(*[c.alias(n) for n, c in planned.items()], F.col("shard").alias("new"))
+    target = target.withColumn("nth", F.row_number().over(alike.orderBy("new")))
+    same = [held[c].eqNullSafe(target[c]) for c in (*given, "nth")]
+    placed = held.join(target, same).select("row.*", F.col("new").cast("int").alias("shard"))
+    placed.hint("rebalance", "shard").write.partitionBy("shard").parquet(out)
     return affected
 
 

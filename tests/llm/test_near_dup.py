@@ -62,6 +62,12 @@ def test_drop_keeps_one_of_each_group(documents):
     assert sorted(kept, key=str) == [1, 1, 7, 8, None]
 
 
+def test_dropping_with_clashing_names(documents):
+    docs = documents([(3, "a b c d e f"), (1, "A b c d e f")], ("_dropped_id", "dropped_id", "Dropped_Id_"[:-1] + "2"))
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
 def test_empty_table(documents):
     assert near_duplicates(documents([])).count() == 0
 

@@ -61,7 +61,7 @@ def test_empty_documents(spark, folder, tmp_path):
 
 def test_every_operator_is_registered():
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {f"{n.split('_')[0]}_" for n in names if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {f"{n.split('_')[0]}_" for n in names if n.startswith("op")}
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= names
 
 

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from subsight.llm.sharding import min_cost_flow, reshard, rewrite_affected, sharded_documents, transfer_pieces
 
@@ -74,3 +75,21 @@ def test_only_changed_shards_are_rewritten(spark, tmp_path):
     new = spark.read.parquet(str(tmp_path / "new"))
     want = {(r.doc_id, r.shard) for r in plan.collect() if r.shard in changed}
     assert {(r.doc_id, r.shard) for r in new.collect()} == want and new.count() == 200
+
+
+def test_rows_without_id_go_where_they_are_planned(spark, documents, tmp_path):
+    texts = ["q" * (i % 7 + 1) for i in range(300)]
+    rows = documents([(None if i % 3 else i % 5, t) for i, t in enumerate(texts)], ("_id", "_new", "row", "nth", "old"))
+    old = rows.withColumn("shard", (F.length("text") % 3).cast("int"))
+    old.write.partitionBy("shard").parquet(str(tmp_path / "old"))
+    sized = old.selectExpr("doc_id", "cast(length(text) + 100 as bigint) size", "crc32(cast(text as binary)) text_crc32", "shard old_shard")
+    plan = reshard(sized, 5)
+    changed = rewrite_affected(spark, str(tmp_path / "old"), plan, str(tmp_path / "new"))
+    new = spark.read.parquet(str(tmp_path / "new"))
+    assert sorted(new.columns) == sorted(old.columns)
+
+    def counts(df, *keys):
+        return {tuple(r)[:-1]: r["count"] for r in df.groupBy(*keys).count().collect()}
+
+    planned = counts(plan.where(F.col("shard").isin(changed)), "shard", "doc_id", "text_crc32")
+    assert counts(new, "shard", "doc_id", F.crc32(F.col("text").cast("binary"))) == planned
