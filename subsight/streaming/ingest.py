@@ -165,14 +165,15 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def drop_persisted(valid: DataFrame, persisted: DataFrame) -> DataFrame:
+def drop_persisted(valid: DataFrame, persisted: DataFrame, among: DataFrame | None = None) -> DataFrame:
     """Rows whose id has not been persisted yet, however long ago.
 
     The persisted ids are many and the batch is small, so the ids are first
     reduced to those of the batch; adaptive execution knows its true size and
-    spares the persisted ids a shuffle.
+    spares the persisted ids a shuffle.  ``among`` gives the ids of the batch
+    where they are cheaper to come by than from ``valid``.
     """
-    wanted = valid.select("event_id").distinct()
+    wanted = (valid if among is None else among).select("event_id").distinct()
     seen = persisted.select("event_id").join(wanted, "event_id", "left_semi").distinct()
     return valid.join(seen, "event_id", "left_anti")
 
@@ -222,8 +223,8 @@ def process_batch(messages: DataFrame, batch_id: int, references: References, si
         rejected_row(seen.where("reason is not null")).write.mode("overwrite").json(
             f"{sink.rejected}/batch_id={batch_id}"
         )
-        first = dedup_batch(checked.where("reason is null"))
-        fresh = event_row(drop_persisted(first, landed(spark, sink, batch_id)))
+        accepted = checked.where("reason is null")
+        fresh = event_row(drop_persisted(dedup_batch(accepted), landed(spark, sink, batch_id), accepted))
         fresh.observe(persisted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
             f"{sink.events}/batch_id={batch_id}"
         )
