@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subsight.llm.graph import components
-from subsight.llm.storage import stored
+from subsight.llm.storage import release, stored
 from subsight.llm.text import mix, pieces, shingles, words
 from subsight.session import stable
 
@@ -167,6 +167,8 @@ def near_duplicates(
         "key", "members", F.negative("hub.m").alias("hub"), F.col("hub.n").alias("hub_n")
     )
     members = stable(bands.join(buckets, "key"))
+    # what made these tables is of no use any more
+    release(docs.sparkSession)
 
     # a bucket's hub against every member
     possible = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * rule.percent
@@ -178,6 +180,7 @@ def near_duplicates(
     sets = stable(shingle_sets(rows.join(candidates, "node", "left_semi"), "node", "text", rule.size))
     links = stable(_verified(stars.distinct(), sets, rule.percent))
     found = components(links)
+    release(docs.sparkSession)
 
     rest = _left_over(members, own, found, sets, rule)
     links = links.union(_verified(rest, sets, rule.percent))
