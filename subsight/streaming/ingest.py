@@ -182,13 +182,14 @@ def dedup_with_state(valid_stream: DataFrame) -> DataFrame:
     """Same rule inside a streaming query, with ids in the state store.
 
     The cost per batch follows the batch, not the history.  All ids are kept
-    for ever, so the default provider, which holds them in executor memory, is
-    refused on a cluster: set ``spark.sql.streaming.stateStore.providerClass``
-    to the RocksDB one.  Of copies inside one batch any may be kept.
+    for ever, so Spark's default provider, which holds them in executor memory,
+    is refused on a cluster; :func:`subsight.session.configure` chooses the
+    RocksDB one where the session names none.  Of copies inside one batch any
+    may be kept.
     """
     spark = valid_stream.sparkSession
     provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
-    if "RocksDB" not in provider and not spark.sparkContext.master.startswith("local"):
+    if "RocksDB" not in provider and spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("stream dedup by state needs the RocksDB state store provider")
     return valid_stream.dropDuplicates(["event_id"])
 

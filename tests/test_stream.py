@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from subsight import schemas
+from subsight.session import configure
 from subsight.sources.events import read_stream_files, stg_events
 from subsight.streaming import contract as ct
 from subsight.streaming import ingest as ing
@@ -253,6 +254,18 @@ def test_state_store_dedup(spark, tmp_path):
         assert spark.read.parquet(f"{tmp_path}/out{i}").count() == 2
 
 
+def test_a_session_keeps_stream_state_on_disk(spark):
+    """Otherwise dedup by state is refused on a cluster; a provider of the session's own stays."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    assert "RocksDB" in spark.conf.get(name)
+    chosen = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "other")
+        assert configure(spark).conf.get(name) == "other"
+    finally:
+        spark.conf.set(name, chosen)
+
+
 def test_empty_and_policy(spark, tmp_path):
     assert one(ing.stream_counters(spark, ing.StreamSink(f"{tmp_path}/none")))["received"] == 0
     assert ing.flush_policy()["max_per_trigger"] == 25
