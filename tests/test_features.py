@@ -5,6 +5,7 @@ from tables import day, moment, one, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from subsight import schemas
@@ -319,6 +320,14 @@ def test_logistic_gradient_tells_a_fitted_model(learnable):
     assert max(abs(r["gradient"]) for r in ml.logistic_gradient(other, train).collect()) > 1e-3
 
 
+def test_models_go_to_tasks_of_an_observed_session(spark, learnable):
+    """The session holds an observation's state, which cannot be sent, so a model must not hold the session."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
+    assert ml.predict(ml.fit(ml.LOGISTIC, learnable), learnable).where("churn_probability between 0 and 1").count() == learnable.count()
+
+
 def test_balanced_weights(spark):
     frame = spark.createDataFrame([(0,), (0,), (0,), (1,)], "churn_label int")
     assert rows(ml.with_balanced_weights(frame).distinct()) == [(0, 4 / 6), (1, 2.0)]
