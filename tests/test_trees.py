@@ -1,3 +1,5 @@
+import pickle
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -90,3 +92,23 @@ def test_nothing_to_split(spark):
     model = tr.BestFirstBoosting(maxIter=2).fit(df)
     assert {r.row_count for r in model.leaf_rows(df).collect()} == {18}
     assert model.transform(df.limit(0)).count() == 0
+
+
+def test_histograms_stay_in_the_tasks(spark, table, monkeypatch):
+    """A fit sends the best splits to the driver, not the sums of all bins."""
+    monkeypatch.setattr(tr, "_TASK_ROWS", 60)
+    sent, collect = [], tr.RDD.collect
+
+    def counted(rdd):
+        out = collect(rdd)
+        sent.append(len(pickle.dumps(out)))
+        return out
+
+    def whole(rdd, add):
+        raise AssertionError("sums of all bins at the driver")
+
+    monkeypatch.setattr(tr.RDD, "collect", counted)
+    monkeypatch.setattr(tr.RDD, "reduce", whole)
+    monkeypatch.setattr(tr.RDD, "treeReduce", whole)
+    tr.BestFirstBoosting(weightCol="weight", maxIter=2, maxLeaves=15, minRows=8).fit(frame(spark, table, 5))
+    assert sent and max(sent) < 3 * 8 * 30 * (tr.BINS + 1)
