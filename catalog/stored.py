@@ -15,7 +15,7 @@ from catalog.sql import (
     SEGMENTS,
     chain,
 )
-from catalog.stream import _MESSAGES, ingest, new_folder
+from catalog.stream import _MESSAGES, arrive, ingest, new_folder, read_files
 from subsight import schemas
 from subsight.operators.scoring import in_rank_order
 from subsight.plans import marts as pl
@@ -96,12 +96,7 @@ def _(d):
 def _(d):
     """Dedup of contract-valid messages inside a streaming query."""
     source, target = new_folder(d.spark, "messages"), new_folder(d.spark, "unique")
-    d.messages.repartition(2).write.parquet(source)
-    stream = (
-        d.spark.readStream.schema("value binary, partition bigint, offset bigint")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(source)
-    )
+    stream = read_files(d.spark, source, arrive(d.messages, source, 2))
     valid = ct.validate_contract(stream).where("reason is null")
     running = (
         ing.dedup_with_state(valid)

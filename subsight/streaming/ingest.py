@@ -210,8 +210,10 @@ def process_batch(messages: DataFrame, batch_id: int, references: References, si
     if sink.pack_every and batch_id and batch_id % sink.pack_every == 0:
         pack_landed(spark, sink, batch_id)
     accounts, users = references(spark)
-    # read several times; a lost block is recomputed from the source
-    checked = validate_ownership(validate_contract(messages), accounts, users).persist()
+    # read several times; a lost block is recomputed from the source.  The
+    # ownership check reads the parsed messages once per reference table
+    parsed = validate_contract(messages).persist()
+    checked = validate_ownership(parsed, accounts, users).persist()
     try:
         received, persisted = Observation(), Observation()
         valid = F.when(F.col("reason").isNull(), F.col("event_timestamp"))
@@ -236,6 +238,7 @@ def process_batch(messages: DataFrame, batch_id: int, references: References, si
         )
     finally:
         checked.unpersist()
+        parsed.unpersist()
 
 
 def flush_policy(max_events: int = 25, seconds: float = 10.0) -> dict:

@@ -132,3 +132,15 @@ def test_registry():
     registry = load()
     assert set(registry.ORACLES) <= set(registry.QUERIES)
     assert set(registry.QUERIES) == set(registry.ORACLES)
+
+
+def test_a_batch_of_messages_has_many_files(spark, tmp_path, monkeypatch):
+    """A file of messages is read by one task, so a larger batch has more files and not larger ones."""
+    from catalog import stream as cs
+
+    monkeypatch.setattr(cs, "FILE_MESSAGES", 100)
+    sent = spark.range(1000).select(F.lit(b"{}").alias("value"), F.lit(0).cast("bigint").alias("partition"), F.col("id").alias("offset"))
+    files = cs.arrive(sent, f"{tmp_path}/in", 2)
+    assert files == 5
+    found = spark.read.parquet(f"{tmp_path}/in")
+    assert found.count() == 1000 and len(found.inputFiles()) == 10
