@@ -294,6 +294,42 @@ def test_models_learn_and_are_compared(learnable):
     assert by_name["days_since_last_activity"] > 0.2 > abs(by_name["company_size"])
 
 
+def test_ranking_between_cuts_equals_ranking_of_all(spark):
+    """Whatever the cuts are; ties, keys without positives and stretches without rows take part."""
+    frame = spark.range(3000).select(
+        (F.col("id") % 3).alias("model"),
+        (F.floor(F.abs(F.xxhash64("id")) % 1000 / 7) / 143).alias("churn_probability"),
+        ((F.col("id") % 3 > 0) & (F.abs(F.xxhash64("id", F.lit(1))) % 9 == 0)).cast("int").alias("churn_label"),
+    )
+    columns = ("row_count", "positives", "pr_auc", "roc_auc")
+    for keys in ((), ("model",)):
+        whole = rows(ev.ranking_metrics(frame, keys=keys), *keys, *columns)
+        for cuts in ([], [0.5], [-1.0, 0.0, 0.1, 0.1, 17 / 143, 0.9, 2.0]):
+            found = rows(ev.ranking_metrics(frame, keys=keys, cuts=cuts), *keys, *columns)
+            assert [[c if c is None else pytest.approx(c, abs=1e-12) for c in r] for r in whole] == [list(r) for r in found]
+
+
+@pytest.mark.parametrize("kind", [ml.LOGISTIC, ml.BOOSTED_TREES])
+def test_importance_equals_whole_predictions_of_shuffled_rows(spark, learnable, kind, monkeypatch):
+    monkeypatch.setattr(ml, "_STRETCH_ROWS", 10)
+    model = ml.fit(kind, learnable, max_iter=3)
+    test = learnable.where("prediction_date = '2024-04-01'").withColumn("account_id", F.concat("account_id", F.lit("t")))
+    calls, plain = [], ml.BestFirstModel._transform
+    monkeypatch.setattr(ml.BestFirstModel, "_transform", lambda *a: calls.append(1) or plain(*a))
+    names = ("days_since_last_activity", "plan", "monthly_revenue")
+    found = {r["feature"]: r for r in ml.permutation_importance(model, test, repeats=2, features=names).collect()}
+    assert set(found) == set(names) and not calls
+    partnered = ml.shuffled_partners(test.select("account_id", "prediction_date", *schemas.FEATURE_COLUMNS, "churn_label"), 2)
+    baseline = one(ev.ranking_metrics(ml.predict(model, test)))["pr_auc"]
+    for name in names:
+        donors = partnered.where("repeat = 1").select(F.col("position").alias("partner"), F.col(name).alias("borrowed"))
+        swapped = partnered.join(donors, "partner").withColumn(name, F.col("borrowed")).drop("borrowed")
+        scored = ml.predict(model, swapped)
+        losses = [baseline - r["pr_auc"] for r in ev.ranking_metrics(scored, keys=["repeat"]).collect()]
+        assert found[name]["importance_mean"] == pytest.approx(sum(losses) / 2, abs=1e-9)
+        assert found[name]["repeats"] == 2
+
+
 @pytest.mark.parametrize("total", [1, 2, 3, 5, 16, 17, 1000])
 def test_keyed_permutations(spark, total):
     placed = spark.range(total).crossJoin(spark.range(30).withColumnRenamed("id", "key"))

@@ -112,3 +112,18 @@ def test_histograms_stay_in_the_tasks(spark, table, monkeypatch):
     monkeypatch.setattr(tr.RDD, "treeReduce", whole)
     tr.BestFirstBoosting(weightCol="weight", maxIter=2, maxLeaves=15, minRows=8).fit(frame(spark, table, 5))
     assert sent and max(sent) < 3 * 8 * 30 * (tr.BINS + 1)
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 15, 16, 17, 64, 65])
+def test_tables_reach_the_leaf_a_walk_reaches(leaves):
+    chance = np.random.default_rng(leaves)
+    tree, open_ = tr._Tree(), [0]
+    while len(open_) < leaves:
+        open_ += tree.split(open_.pop(int(chance.integers(len(open_)))), int(chance.integers(5)), int(chance.integers(255)))
+    for node in open_:
+        tree.value[node] = float(chance.normal())
+    bins = chance.integers(0, 256, (3000, 5)).astype(np.uint8)
+    walked = tr._reach(bins, tree.arrays())
+    table, columns = tr._Table(tree.arrays(), [256] * 5), np.ascontiguousarray(bins.T)
+    assert (table.reach(columns) == walked).all()
+    assert (table.added(columns) == tree.arrays()[4][walked]).all()
