@@ -127,3 +127,23 @@ def test_tables_reach_the_leaf_a_walk_reaches(leaves):
     table, columns = tr._Table(tree.arrays(), [256] * 5), np.ascontiguousarray(bins.T)
     assert (table.reach(columns) == walked).all()
     assert (table.added(columns) == tree.arrays()[4][walked]).all()
+
+
+def test_a_tree_like_one_before_takes_one_job(spark, table, monkeypatch):
+    """Nodes are looked at ahead where earlier trees were split; wrong expectations change nothing."""
+    monkeypatch.setattr(tr, "_TASK_ROWS", 100)
+    jobs, collect = [], tr.RDD.collect
+    monkeypatch.setattr(tr.RDD, "collect", lambda rdd: jobs.append(1) or collect(rdd))
+
+    def fitted(rounds, step):
+        jobs.clear()
+        df = frame(spark, table, 3)
+        model = tr.BestFirstBoosting(weightCol="weight", maxIter=rounds, stepSize=step, maxLeaves=6, minRows=8).fit(df)
+        return model.getOrDefault(model.trees), len(jobs)
+
+    first = fitted(1, 0.0)[1]
+    assert first > 2 and fitted(4, 0.0)[1] == first + 3
+    found, few = fitted(8, 0.5)
+    monkeypatch.setattr(tr, "_remember", lambda *_: None)
+    unaided, many = fitted(8, 0.5)
+    assert found == unaided and few < many
