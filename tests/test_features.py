@@ -386,3 +386,19 @@ def test_training_run_is_stored_and_scores_later(spark, learnable, tmp_path):
     assert metrics.select("run_id", "model", "split").distinct().count() == 4
     scored = stored_scorer(spark, str(tmp_path), "r1")(features)
     assert scored.where("churn_probability between 0 and 1").count() == features.count()
+
+
+def test_metrics_compute_the_held_out_dates_only(spark, monkeypatch):
+    """The rows of both dates are those of the whole table, and no others are made."""
+    from catalog import churn
+    from fixture_views import TestData
+
+    d, stored = TestData(spark, "/root/testdata/sf0.001"), []
+    monkeypatch.setattr(churn, "stable", lambda df: stored.append(df) or df)
+    _, *whole = ev.temporal_split(churn.features_of(d))
+    for found, wanted in zip(churn.stored_held_out_of(d), whole, strict=True):
+        assert wanted.count() and sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+    assert stored[0].count() == sum(part.count() for part in whole)
+    stored.clear()
+    churn._results_of(d)
+    assert stored[0].select("prediction_date").distinct().count() == 2
