@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,37 +125,57 @@ def materialise_events(staged: Staged, folder: str, store: Store | None = None)
     )
 
 
+#: Marts that are written at the same time, so that one's last tasks leave no cores idle.
+_AT_ONCE = 4
+
+
 def build_marts(staged: Staged, usage: DataFrame | None = None, store: Store | None = None) -> dict[str, DataFrame]:
     """All marts by name.
 
     ``usage`` is the stored daily roll-up, if there is one.  Without a store
-    the marts are lazy; with one, tables that feed others are computed once.
+    the marts are lazy; with one, tables that feed others are computed once,
+    and those that do not feed each other side by side.
     """
     keep = store or (lambda _, df: df)
     events = staged.events if usage is None else usage
     marts: dict[str, DataFrame] = {}
 
-    def add(name: str, df: DataFrame) -> DataFrame:
-        marts[name] = keep(name, df)
-        return marts[name]
-
-    dim = add("dim_account", dim_account(staged.accounts, staged.subscriptions))
-    add("dim_user", dim_user(staged.users))
+    def add(name: str, make: Callable[..., DataFrame], *args) -> DataFrame:
+        return keep(name, make(*args))
+
+    def features(activation: DataFrame) -> DataFrame:
+        snapshots = prediction_spine(staged.subscriptions, staged.invoices)
+        return churn_features(snapshots, staged.accounts, events, staged.invoices, activation)
+
+    def activity() -> DataFrame:
+        return mart_account_activity(account_activity(staged.accounts, staged.users, events))
+
+    with ThreadPoolExecutor(_AT_ONCE if store else 1) as pool:
+
+        def start(name: str, make: Callable[..., DataFrame], *args) -> None:
+            running[name] = pool.submit(inheritable_thread_target(add), name, make, *args)
+
+        running: dict[str, Future] = {}
+        # what others wait for comes first, and then the largest one
+        start("int_account_activation", account_activation, staged.accounts, events)
+        start("dim_account", dim_account, staged.accounts, staged.subscriptions)
+        start("int_account_monthly_revenue", account_monthly_revenue, staged.invoices, staged.subscriptions)
+        start("mart_account_activity", activity)
+        activation, dim = running["int_account_activation"].result(), running["dim_account"].result()
+        start("mart_churn_features", features, activation)
+        start("mart_feature_adoption", feature_adoption, staged.accounts, events)
+        start("mart_retention_cohorts", retention_cohorts, staged.accounts, events)
+        start("mart_logo_churn", logo_churn, staged.subscriptions, events)
+        start("dim_user", dim_user, staged.users)
+        start("fact_subscriptions", fact_subscriptions, staged.subscriptions)
+        start("mart_activation", mart_activation, activation)
+        start("mart_retention_segments", retention_segments, dim)
+        revenue = running["int_account_monthly_revenue"].result()
+        start("mart_revenue_churn", revenue_churn, revenue)
+        start("mart_revenue_retention", revenue_retention, revenue)
+        start("mart_retention_behavior", retention_behavior, dim, running["mart_account_activity"].result())
+        marts.update((name, mart.result()) for name, mart in running.items())
     marts["fact_product_events"] = fact_product_events(staged.events)  # stored by materialise_events
-    add("fact_subscriptions", fact_subscriptions(staged.subscriptions))
-    activation = add("int_account_activation", account_activation(staged.accounts, events))
-    add("mart_activation", mart_activation(activation))
-    activity = add("mart_account_activity", mart_account_activity(account_activity(staged.accounts, staged.users, events)))
-    add("mart_feature_adoption", feature_adoption(staged.accounts, events))
-    add("mart_retention_cohorts", retention_cohorts(staged.accounts, events))
-    add("mart_logo_churn", logo_churn(staged.subscriptions, events))
-    revenue = add("int_account_monthly_revenue", account_monthly_revenue(staged.invoices, staged.subscriptions))
-    add("mart_revenue_churn", revenue_churn(revenue))
-    add("mart_revenue_retention", revenue_retention(revenue))
-    add("mart_retention_segments", retention_segments(dim))
-    add("mart_retention_behavior", retention_behavior(dim, activity))
-    snapshots = prediction_spine(staged.subscriptions, staged.invoices)
-    add("mart_churn_features", churn_features(snapshots, staged.accounts, events, staged.invoices, activation))
     return marts
 
 
