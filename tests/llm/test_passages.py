@@ -141,3 +141,14 @@ def test_recall_of_short_passages_with_many_edits(documents):
         hits = [(d, s) in found for d, (s, near) in want.items() if near == similarity]
         print("recall", similarity, sum(hits), len(hits))
         assert all(hits)
+
+
+def test_a_link_that_few_rare_seeds_and_many_common_ones_make(documents):
+    blocks = [prose(4) for _ in range(8)] + [prose(4), prose(5)]
+    one = [w for b in blocks for w in [*b, *prose(1)]][:-1]
+    two = [w for b in blocks for w in [*b, *prose(1)]][:-1]
+    # all blocks but the last two stand before the one, and between it and the two
+    others = [(i, " ".join(w for b in blocks[:8] for w in [*prose(30), *b])) for i in [*range(1, 13), *range(60, 72)]]
+    rows = [*others, (50, " ".join(prose(40) + one + prose(40))), (100, " ".join(prose(60) + two + prose(20)))]
+    out = repeated_passages(documents(rows)).collect()
+    assert (100, 50) in {(r.doc_id, r.source_id) for r in out}
