@@ -119,3 +119,65 @@ def test_parent_of_a_frequent_word_is_its_own_class(documents, monkeypatch):
     numbers = known.of(words(pa.array(names)).hash)
     assert (numbers > 1).all() and parent[c + numbers].tolist() == t.kind[first].tolist()
     assert parent[c + numbers[0]] == parent[c + numbers[1]] and parent[c + 1] == 0
+
+
+def test_every_word_is_a_context_of_its_own(documents):
+    """Beyond the frequent words too: what follows a rare word is learned of that word alone."""
+    draw = random.Random(5)
+    fill = [f"f{i}" for i in range(30)]
+    # pairs of words of one ending, so of one class: each has its own follower
+    follows = {f"p{i:03}end": f"q{i:03}end" for i in range(120)}
+    texts = []
+    for _ in range(400):
+        first = draw.choice(list(follows))
+        texts.append(" ".join([*draw.choices(fill, k=12), first, follows[first], *draw.choices(fill, k=2)]))
+    held = [i for i in range(2000, 4000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    pairs = list(follows.items())
+    right = [(held[i], " ".join(pairs[i])) for i in range(60)]
+    wrong = [(held[100 + i], f"{pairs[i][0]} {pairs[i + 1][1]}") for i in range(60)]
+    seen = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    score = {r.doc_id: r.score for r in lm_scores(documents([*zip(seen, texts), *right, *wrong]), RULE).collect()}
+    means = [sum(score[i] for i, _ in rows) / len(rows) for rows in (right, wrong)]
+    assert means[0] > means[1] + 1
+
+
+def test_scores_of_certain_seats_by_hand(documents):
+    """Words that occur once have one table everywhere, so that scores follow without a draw."""
+    rule = LmRule(frequent=2, classes=16)
+    learned = "alpha beta gamma delta omega".split()
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1]
+    asked = [learned, ["beta", "alpha"], ["gamma", "gamma", "new"], ["new", "delta"], ["omega"], []]
+    kinds = {w: 1 + (ord(w[-1]) * 31 + ord(w[-2]) * 7) % 15 for w in [*learned, "new"]} | {None: 0}
+    pairs = set(zip([None, *learned], [*learned, None]))
+    nodes = {(kinds[u], w) for u, w in pairs}
+    (d0, d1, d2), (s0, s1, s2) = rule.discount, rule.strength
+    n = len(learned) + 1
+    # a root customer for each class that a word was seen in
+    in_class = {w: sum(x == w for _, x in nodes) for w in [*learned, None]}
+    assert set(in_class.values()) == {1}
+
+    def chance(u, w):
+        base = (1 - rule.unseen) / n if w in in_class else rule.unseen
+        p = ((w in in_class) * (1 - d0) + (s0 + d0 * n) * base) / (s0 + n)
+        mine = sum(k == kinds[u] for k, _ in nodes)
+        p = (((kinds[u], w) in nodes) * (1 - d1) + (s1 + d1 * mine) * p) / (s1 + mine)
+        once = u is None or u in learned
+        return (((u, w) in pairs) * (1 - d2) + (s2 + d2 * once) * p) / (s2 + once)
+
+    rows = [(next(i for i in range(200) if i not in held), " ".join(learned)), *zip(held, map(" ".join, asked))]
+    found = by_id(lm_scores(documents(rows), rule))
+    for i, words in zip(held, asked):
+        want = sum(math.log10(chance(u, w)) for u, w in zip([None, *words], [*words, None]))
+        assert found[i].score == pytest.approx(want, rel=1e-9), words
+
+
+def test_rare_contexts_are_summed_over_all_parts(documents):
+    """A context's words may be dealt to any part: scores do not depend on how many there are, but for the draws."""
+    draw = random.Random(8)
+    fill = [f"f{i}" for i in range(300)]
+    rows = [(i, " ".join(draw.choices(fill, k=40))) for i in range(120)]
+    one = by_id(lm_scores(documents(rows), LmRule(frequent=5, classes=16, tokens_per_part=10**9)))
+    many = by_id(lm_scores(documents(rows), LmRule(frequent=5, classes=16, tokens_per_part=200)))
+    assert one.keys() == many.keys()
+    for i, r in one.items():
+        assert tuple(r)[1:5] == tuple(many[i])[1:5] and many[i].score == pytest.approx(r.score, rel=0.03)
