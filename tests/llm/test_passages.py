@@ -152,3 +152,68 @@ def test_a_link_that_few_rare_seeds_and_many_common_ones_make(documents):
     rows = [*others, (50, " ".join(prose(40) + one + prose(40))), (100, " ".join(prose(60) + two + prose(20)))]
     out = repeated_passages(documents(rows)).collect()
     assert (100, 50) in {(r.doc_id, r.source_id) for r in out}
+
+
+def test_agree_is_the_longest_common_subsequence():
+    from subsight.llm.passages import agree
+
+    draw = random.Random(4)
+    for _ in range(300):
+        a, b = ([draw.randrange(6) for _ in range(draw.randrange(14))] for _ in range(2))
+        longest = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                longest[i + 1][j + 1] = longest[i][j] + 1 if x == y else max(longest[i][j + 1], longest[i + 1][j])
+        assert agree(a, b, longest[-1][-1]) and not agree(a, b, longest[-1][-1] + 1)
+
+
+def test_distance_edit_by_edit_is_the_edit_distance():
+    from subsight.llm.edit_embedding import edit_distance
+    from subsight.llm.passages import _distance
+
+    draw = random.Random(6)
+    for size in (0, 1, 5, 60, 400):
+        for edits in (0, 1, 2, 7, 12, 13, 30):
+            a = [draw.randrange(40) for _ in range(size)]
+            b = list(a)
+            for _ in range(edits):
+                at = draw.randrange(len(b) + 1)
+                b[at : at + draw.randrange(2)] = [draw.randrange(40)] * draw.randrange(2)
+            assert _distance(a, b) == edit_distance(a, b)
+
+
+def test_chains_that_cannot_be_passages_are_not_aligned(monkeypatch):
+    """Seven shared runs spread over too many other words take no alignment."""
+    from subsight.llm import passages
+
+    aligned = []
+    monkeypatch.setattr(passages, "alignment", lambda a, b: aligned.append((a, b)) or [])
+    rule = passages.EVERY_SEED
+    shared = list(range(1, 31))
+    spread = [[w for i in range(0, 30, 5) for w in [*shared[i : i + 5], *range(base + i * 20, base + i * 20 + 20)]] for base in (1000, 9000)]
+    a, b = spread
+    r = dict(doc=2, source=1, lo=0, hi=130, source_lo=0, source_hi=130, margin=rule.margin)
+    assert passages._align(r, a, b, 0, 0, rule) == [] and not aligned
+    # all fifty words agree, around two that do not
+    a = list(range(100, 150))
+    r = dict(doc=2, source=1, lo=0, hi=30, source_lo=0, source_hi=30, margin=rule.margin)
+    passages._align(r, a, [*a[:30], 7, 8, *a[30:]], 0, 0, rule)
+    assert len(aligned) == 1
+
+
+def test_anchors_within_chains_do_not_depend_on_the_portion(monkeypatch):
+    from subsight.llm import passages
+
+    draw = np.random.Generator(np.random.PCG64(2))
+    pos = np.sort(draw.integers(0, 60, 200))
+    target, length, few = draw.integers(0, 60, 200), draw.integers(4, 9, 200), draw.random(200) < 0.2
+    made = [(int(a), int(a + n), int(b), int(b + m), 1) for a, n, b, m in draw.integers(1, 40, (50, 4))]
+    rule = passages.EVERY_SEED
+    want = []
+    for lo, hi, source_lo, source_hi, _ in made:
+        inside = (pos >= lo) & (pos + length <= hi) & (target >= source_lo) & (target + length <= source_hi)
+        want.append((int((length[inside] - rule.size + 1).sum()), bool(few[inside].any())))
+    for portion in (1, 100, 1 << 21):
+        monkeypatch.setattr(passages, "_AT_ONCE", portion)
+        many, rare = passages._within(made, pos, target, length, few, rule)
+        assert list(zip(many.tolist(), rare.tolist())) == want
