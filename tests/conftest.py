@@ -6,6 +6,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# tests count what a session ran, which by default forgets all but the last 1,000
+os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--conf spark.sql.ui.retainedExecutions=100000 pyspark-shell")
+
 from subsight import schemas  # noqa: E402
 from subsight.session import local_session  # noqa: E402
 from tables import day, moment  # noqa: E402
